@@ -118,14 +118,8 @@ def typed_fields(df: DataFrame, *kept: str) -> DataFrame:
 @query
 def s1_unroll_pages(spark: SparkSession, sf: str) -> DataFrame:
     items = unroll_pages(adapters.job_pages(spark, events(spark, sf)), max_pages=ALL_PAGES)
-    get = lambda path, kind: F.try_variant_get("raw", path, kind)
-    return items.select(
-        "page",
-        get("$.slug", "string").alias("slug"),
-        get("$.title", "string").alias("title"),
-        get("$.location", "string").alias("location"),
-        get("$.created_at", "bigint").alias("created_at"),
-    )
+    posting = F.from_json("raw", "slug string, title string, location string, created_at bigint")
+    return items.select("page", posting.alias("_posting")).select("page", "_posting.*")
 
 
 @query
@@ -136,7 +130,7 @@ def s2_validate_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def s3_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    landed = adapters.raw(spark, events(spark, sf)).withColumn("raw", F.try_parse_json("payload"))
+    landed = adapters.raw(spark, events(spark, sf)).withColumnRenamed("payload", "raw")
     envelopes = build_envelope(validate_contract(landed), "board_a", datetime(2024, 1, 31, tzinfo=UTC))
     return envelopes.select(
         "source",
@@ -151,7 +145,7 @@ def s3_envelope(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def s4_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Key and value of every message, read back from their bytes."""
-    landed = adapters.raw(spark, events(spark, sf)).withColumn("raw", F.try_parse_json("payload"))
+    landed = adapters.raw(spark, events(spark, sf)).withColumnRenamed("payload", "raw")
     sent = to_messages(build_envelope(validate_contract(landed), "board_a", datetime(2024, 1, 31, tzinfo=UTC)))
     value = F.col("value").cast("string")
     return sent.select(

@@ -1,9 +1,9 @@
-"""The posting contract over VARIANT payloads.
+"""The posting contract over JSON payloads.
 
 A record either satisfies every field rule and becomes a typed JSON object, or
 its typed value is null and the failed fields are named.  The rules tell an
 absent field, an explicit null and a value of the wrong kind apart, so each one
-looks at the kind of the JSON value before it casts.
+looks at the kind of the JSON value before it reads its text.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from .json import is_object, read_object, with_settled
 from .text import strip_blanks
 
 # Texts accepted as booleans, in any case.
@@ -23,19 +23,22 @@ FALSE_TEXTS = ("0", "off", "f", "false", "n", "no")
 # Fixed value: integer texts; single underscores between digits and a zero fraction are fine.
 INTEGER_TEXT = r"^[+-]?\d+(_\d+)*(\.0*)?$"
 
-_NOT_AN_OBJECT = "payload"
+NOT_AN_OBJECT = "payload"
 
 
 @dataclass(frozen=True)
-class _Value:
-    """One member of the payload: its kind and casts to Spark types."""
+class _Member:
+    """One member of a payload: its JSON value and the kind of that value."""
 
-    payload: Column
-    name: str
+    value: Column
     kind: Column
 
     def get(self, spark_type: str) -> Column:
-        return F.try_variant_get(self.payload, f"$.{self.name}", spark_type)
+        return F.try_variant_get(self.value, "$", spark_type)
+
+    @property
+    def text(self) -> Column:
+        return self.get("string")
 
     @property
     def absent(self) -> Column:
@@ -46,48 +49,51 @@ class _Value:
         return self.kind == "VOID"
 
     @property
-    def number(self) -> Column:
-        return self.kind.isin("BIGINT", "DOUBLE", "FLOAT") | self.kind.startswith("DECIMAL")
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
+
+    @property
+    def fractional(self) -> Column:
+        return self.kind.isin("DOUBLE", "FLOAT") | self.kind.startswith("DECIMAL")
 
 
-def _text(v: _Value) -> Column:
-    return F.when(v.kind == "STRING", strip_blanks(v.get("string")))
+def _text(m: _Member) -> Column:
+    return F.when(m.is_text, strip_blanks(m.text))
 
 
-def _text_or_empty(v: _Value) -> Column:
-    return F.when(v.absent, F.lit("")).otherwise(_text(v))
+def _text_or_empty(m: _Member) -> Column:
+    return F.when(m.absent, F.lit("")).otherwise(_text(m))
 
 
-def _flag(v: _Value) -> Column:
-    text = F.lower(v.get("string"))
-    number = v.get("double")
+def _flag(m: _Member) -> Column:
+    word, number = F.lower(m.text), m.get("double")
     return (
-        F.when(v.absent, F.lit(False))
-        .when(v.kind == "BOOLEAN", v.get("boolean"))
-        .when((v.kind == "STRING") & text.isin(*TRUE_TEXTS), F.lit(True))
-        .when((v.kind == "STRING") & text.isin(*FALSE_TEXTS), F.lit(False))
-        .when(v.number & number.isin(0.0, 1.0), number == 1.0)
+        F.when(m.absent, F.lit(False))
+        .when(m.kind == "BOOLEAN", m.get("boolean"))
+        .when(m.is_text & word.isin(*TRUE_TEXTS), F.lit(True))
+        .when(m.is_text & word.isin(*FALSE_TEXTS), F.lit(False))
+        .when((m.fractional | (m.kind == "BIGINT")) & number.isin(0.0, 1.0), number == 1.0)
     )
 
 
-def _integer(v: _Value) -> Column:
-    text = strip_blanks(v.get("string"))
-    digits = F.regexp_replace(F.regexp_replace(text, r"\..*$", ""), "_", "")
-    number = v.get("double")
+def _integer(m: _Member) -> Column:
+    word, number = strip_blanks(m.text), m.get("double")
+    digits = F.regexp_replace(F.regexp_replace(word, r"\..*$", ""), "_", "")
     return (
-        F.when((v.kind == "BIGINT") | (v.kind == "BOOLEAN"), v.get("bigint"))
-        .when(v.number & (number == F.floor(number)), v.get("bigint"))
-        .when((v.kind == "STRING") & text.rlike(INTEGER_TEXT), digits.try_cast("bigint"))
+        F.when(m.kind == "BIGINT", m.get("bigint"))
+        .when(m.fractional & (number == F.floor(number)), number.try_cast("bigint"))
+        .when(m.kind == "BOOLEAN", m.get("bigint"))
+        .when(m.is_text & word.rlike(INTEGER_TEXT), digits.try_cast("bigint"))
     )
 
 
-def _text_list(v: _Value) -> Column:
+def _text_list(m: _Member) -> Column:
     """A list of texts; null items are dropped, a lone value becomes a list."""
-    items = F.filter(v.get("array<string>"), lambda x: x.isNotNull())
+    items = F.filter(m.get("array<string>"), lambda x: x.isNotNull())
     return (
-        F.when(v.absent | v.explicit_null, F.array().cast("array<string>"))
-        .when(v.kind.startswith("ARRAY"), F.transform(items, strip_blanks))
-        .otherwise(F.array(strip_blanks(v.get("string"))))
+        F.when(m.absent | m.explicit_null, F.array().cast("array<string>"))
+        .when(m.kind.startswith("ARRAY"), F.transform(items, strip_blanks))
+        .otherwise(F.array(strip_blanks(m.text)))
     )
 
 
@@ -106,36 +112,26 @@ FIELD_RULES = {
 }
 
 
-def is_object(variant: Column) -> Column:
-    """True for a JSON object, false for any other value and for no value."""
-    return F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
-
-
 def validate_contract(df: DataFrame, payload: str = "raw") -> DataFrame:
     """Adds ``typed`` (JSON text, null when invalid) and ``contract_error``.
 
-    ``payload`` is a VARIANT column or JSON text.  No row is dropped.  The steps
-    are separate projections so that each JSON value is parsed and typed once.
+    ``payload`` is JSON text.  No row is dropped.  The error lists the failed
+    fields, or says ``payload`` when the text is no object.  The steps are separate
+    projections, so that the text and each member are read once.
     """
-    value = F.col(payload)
-    if isinstance(df.schema[payload].dataType, StringType):
-        value = F.try_parse_json(value)
-    kinds = {f"_kind_{name}": F.schema_of_variant(F.try_variant_get("_value", f"$.{name}", "variant")) for name in FIELD_RULES}
+    read = df.withColumn("_read", read_object(F.col(payload), dict.fromkeys(FIELD_RULES, "variant")))
+    kinds = {f"_kind_{n}": F.schema_of_variant(F.col(f"_read.{n}")) for n in FIELD_RULES}
     fields = {
-        f"_field_{name}": rule(_Value(F.col("_value"), name, F.col(f"_kind_{name}")))
-        for name, rule in FIELD_RULES.items()
+        f"_field_{n}": rule(_Member(F.col(f"_read.{n}"), F.col(f"_kind_{n}"))) for n, rule in FIELD_RULES.items()
     }
     failed = F.concat_ws(",", *[F.when(F.col(f"_field_{n}").isNull(), F.lit(n)) for n in FIELD_RULES])
     record = F.to_json(F.struct(*[F.col(f"_field_{n}").alias(n) for n in FIELD_RULES]))
     checked = (
-        df.withColumn("_value", value)
-        .withColumns(kinds)
+        read.withColumns(kinds)
         .withColumns(fields)
-        .withColumn("_failed", failed)
-        .withColumn("_object", F.col("_failed").eqNullSafe("") | is_object(F.col("_value")))
-    )
-    return checked.select(
-        *[F.col(c) for c in df.columns],
-        F.when(F.col("_failed") == "", record).alias("typed"),
-        F.when(~F.col("_object"), F.lit(_NOT_AN_OBJECT)).when(F.col("_failed") != "", F.col("_failed")).alias("contract_error"),
+        .withColumn("_failed", F.when(is_object("_read"), failed).otherwise(F.lit(NOT_AN_OBJECT)))
+        .withColumn("_record", F.when(F.col("_failed") == "", record))
+        .select(*df.columns, "_record", F.nullif("_failed", F.lit("")).alias("_error"))
     )
+    settled = {"typed": F.col("_record"), "contract_error": F.col("_error")}
+    return with_settled(checked, settled).drop("_record", "_error")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.functions.json import with_settled
 from jobloom.functions.text import (
     epoch_to_timestamp,
     infer_country,
@@ -25,24 +26,19 @@ def staging(bronze: DataFrame) -> DataFrame:
     A row whose ingestion time is malformed cannot be ordered and is left out;
     ``quality.BRONZE_RULES`` counts it.
     """
+    timed = bronze.where(F.col("typed").isNotNull()).withColumn("_at", iso_to_timestamp(F.col("ingested_at")))
+    parsed = with_settled(timed.where(F.col("_at").isNotNull()), {"_typed": F.from_json("typed", TYPED_POSTING)})
     typed = F.col("_typed")
-    return (
-        bronze.where(F.col("typed").isNotNull())
-        .select(
-            *POSTING_KEY,
-            iso_to_timestamp(F.col("ingested_at")).alias("ingested_at"),
-            F.from_json("typed", TYPED_POSTING).alias("_typed"),
-        )
-        .where(F.col("ingested_at").isNotNull())
-        .select(
-            *POSTING_KEY,
-            "ingested_at",
-            *[typed[c].alias(c) for c in ("slug", "company_name", "title", "description", "url", "location", "remote")],
-            F.to_json(typed["tags"]).alias("tags_json"),
-            F.to_json(typed["job_types"]).alias("job_types_json"),
-            typed["created_at"].alias("created_at_epoch"),
-            epoch_to_timestamp(typed["created_at"]).alias("posting_created_at"),
-        )
+    texts = ("slug", "company_name", "title", "description", "url", "location")
+    return parsed.select(
+        *POSTING_KEY,
+        F.col("_at").alias("ingested_at"),
+        *[typed[c].alias(c) for c in texts],
+        typed["remote"].alias("remote"),
+        typed["tags"].alias("tags_json"),
+        typed["job_types"].alias("job_types_json"),
+        typed["created_at"].alias("created_at_epoch"),
+        epoch_to_timestamp(typed["created_at"]).alias("posting_created_at"),
     )
 
 

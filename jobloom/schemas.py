@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     DataType,
     IntegerType,
@@ -39,6 +38,7 @@ BRONZE = _schema(
     hour=TEXT,
 )
 
+# Lists are read as their JSON text.
 TYPED_POSTING = _schema(
     slug=TEXT,
     company_name=TEXT,
@@ -46,8 +46,8 @@ TYPED_POSTING = _schema(
     description=TEXT,
     remote=FLAG,
     url=TEXT,
-    tags=ArrayType(TEXT),
-    job_types=ArrayType(TEXT),
+    tags=TEXT,
+    job_types=TEXT,
     location=TEXT,
     created_at=COUNT,
 )

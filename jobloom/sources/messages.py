@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.functions.json import is_object, opens_object, read_object, with_settled
+
 # JSON texts that count as no typed record at all.
 EMPTY_JSON = ("null", "{}", "[]", '""', "0", "0.0", "-0.0", "false")
 
 
+MEMBERS = ("source", "source_id", "ingested_at", "source_payload", "typed")
+
+
 def _json_text(member: str) -> Column:
-    return F.to_json(F.try_variant_get("_message", member, "variant"))
+    """JSON text of a member: objects, the rule, are at hand; the rest is read again."""
+    text = F.col(f"_read.{member}")
+    again = F.from_json("_text", f"{member} variant")[member]
+    return F.when(opens_object(text), text).otherwise(F.to_json(again))
 
 
 def parse_messages(messages: DataFrame, source: str) -> DataFrame:
@@ -20,29 +28,24 @@ def parse_messages(messages: DataFrame, source: str) -> DataFrame:
     and otherwise ignored.  Both keep their row so that they can be counted in
     the same pass.
     """
-    text = F.col("value").cast("string")
-    # A valid JSON text is an object exactly when it opens with a brace.
-    opens_object = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
-    member = lambda path: F.try_variant_get("_message", path, "string")
-    typed = _json_text("$.typed")
-    parsed = messages.select(F.when(opens_object, F.try_parse_json(text)).alias("_message")).select(
-        member("$.source").alias("source"),
-        member("$.source_id").alias("source_id"),
-        member("$.ingested_at").alias("ingested_at"),
-        F.coalesce(_json_text("$.source_payload"), F.lit("{}")).alias("source_payload"),
-        typed.alias("typed"),
-        F.col("_message").isNull().alias("bad"),
+    read = messages.select(F.col("value").cast("string").alias("_text")).withColumn(
+        "_read", read_object(F.col("_text"), dict.fromkeys(MEMBERS, "string"))
     )
-    own = ~F.col("bad") & F.col("source").eqNullSafe(source)
-    return parsed.select(
-        "source",
-        "source_id",
-        "ingested_at",
-        F.when(~F.col("bad"), F.col("source_payload")).alias("source_payload"),
-        F.when(~F.col("typed").isin(*EMPTY_JSON), F.col("typed")).alias("typed"),
-        "bad",
-        (~F.col("bad") & ~own).alias("other_source"),
+    judged = read.withColumn("_bad", ~is_object("_read"))
+    good = lambda column: F.when(~F.col("_bad"), column)
+    record = F.when(F.col("_read.typed").isNotNull(), _json_text("typed"))
+    parsed = judged.select(
+        *[good(F.col(f"_read.{m}")).alias(f"_{m}") for m in ("source", "source_id", "ingested_at")],
+        good(F.coalesce(_json_text("source_payload"), F.lit("{}"))).alias("_source_payload"),
+        good(record).alias("_typed"),
+        "_bad",
     )
+    columns = {m: F.col(f"_{m}") for m in MEMBERS} | {
+        "typed": F.when(~F.col("_typed").isin(*EMPTY_JSON), F.col("_typed")),
+        "bad": F.col("_bad"),
+        "other_source": ~F.col("_bad") & ~F.col("_source").eqNullSafe(source),
+    }
+    return with_settled(parsed, columns).select(*columns)
 
 
 def bronze_rows(parsed: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from jobloom.functions.contract import is_object, validate_contract
+from jobloom.functions.contract import validate_contract
+from jobloom.functions.json import one_value, opens_object
 
 # Delivery settings of the message sink.
 KAFKA_SINK = {
@@ -28,24 +29,22 @@ def unroll_pages(pages: DataFrame, max_pages: int = 10, observe: Observation | N
 
     A page ends the walk when its ``data`` is missing, null, empty or no array.
     The end is a scalar subquery, so the pages themselves are never shuffled.
-    Items that are not objects are left out; ``observe`` counts them.
+    ``raw`` is the item's JSON text.  Items that are not objects are left out;
+    ``observe`` counts them.
     """
     if max_pages < 1:
         raise ValueError("max_pages must be at least 1")
     within = pages.where(F.col("page").between(1, max_pages))
-    data = F.try_variant_get(F.try_parse_json("payload"), "$.data", "array<variant>")
+    data = F.when(one_value(F.col("payload")), F.from_json("payload", "data array<string>")["data"])
     ending = within.where(F.coalesce(F.size(data), F.lit(0)) < 1)
-    first_end = ending.agg(F.coalesce(F.min("page"), F.lit(max_pages + 1).cast(pages.schema["page"].dataType)))
-    items = (
-        within.where(F.col("page") < first_end.scalar())
-        .select("page", F.explode(data).alias("raw"))
-        .withColumn("_object", is_object(F.col("raw")))
-    )
+    past_end = F.lit(max_pages + 1).cast(pages.schema["page"].dataType)
+    first_end = ending.agg(F.coalesce(F.min("page"), past_end))
+    items = within.where(F.col("page") < first_end.scalar()).select("page", F.explode(data).alias("raw"))
     if observe is not None:
         items = items.observe(
-            observe, F.count(F.lit(1)).alias("items"), F.count_if(~F.col("_object")).alias("bad_items")
+            observe, F.count(F.lit(1)).alias("items"), F.count_if(~opens_object(F.col("raw"))).alias("bad_items")
         )
-    return items.where("_object").drop("_object")
+    return items.where(opens_object(F.col("raw")))
 
 
 def _iso(now: datetime | Column) -> Column:
@@ -54,34 +53,36 @@ def _iso(now: datetime | Column) -> Column:
     return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def build_envelope(df: DataFrame, source: str | Column, now: datetime | Column, payload: str = "raw") -> DataFrame:
+def build_envelope(df: DataFrame, source: str, now: datetime | Column, payload: str = "raw") -> DataFrame:
     """S3: source, id, ingestion time, raw payload and typed record per posting.
 
-    ``df`` has a VARIANT ``payload`` and the ``typed`` text of the contract.  The
-    id is the raw slug as text, untrimmed, or '' when there is none.  ``now`` is
+    ``df`` has the JSON text ``payload`` and the ``typed`` text of the contract.
+    The id is the raw slug as text, untrimmed, or '' when there is none.  ``now`` is
     given by the caller, so a rerun writes the same envelopes.
     """
-    slug = F.coalesce(F.try_variant_get(payload, "$.slug", "string"), F.lit(""))
     return df.select(
-        (source if isinstance(source, Column) else F.lit(source)).alias("source"),
-        slug.alias("source_id"),
+        F.lit(source).alias("source"),
+        F.coalesce(F.get_json_object(payload, "$.slug"), F.lit("")).alias("source_id"),
         _iso(now).alias("ingested_at"),
-        F.to_json(payload).alias("source_payload"),
+        F.col(payload).alias("source_payload"),
         F.col("typed"),
     )
 
 
 def to_messages(envelopes: DataFrame) -> DataFrame:
-    """Message key and value; an empty id is keyed ``unknown``."""
-    value = F.to_json(
-        F.struct(
-            "source",
-            "source_id",
-            "ingested_at",
-            F.try_parse_json("source_payload").alias("source_payload"),
-            F.try_parse_json("typed").alias("typed"),
-        ),
-        {"ignoreNullFields": "false"},
+    """Message key and value; an empty id is keyed ``unknown``.
+
+    Payload and typed record are JSON texts already and go into the value as they
+    are; a missing typed record is an explicit null.
+    """
+    head = F.to_json(F.struct("source", "source_id", "ingested_at"), {"ignoreNullFields": "false"})
+    value = F.concat(
+        F.substring(head, F.lit(1), F.length(head) - 1),
+        F.lit(',"source_payload":'),
+        F.coalesce("source_payload", F.lit("null")),
+        F.lit(',"typed":'),
+        F.coalesce("typed", F.lit("null")),
+        F.lit("}"),
     )
     key = F.when(F.col("source_id") == "", F.lit("unknown")).otherwise(F.col("source_id"))
     return envelopes.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"))
