@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters
 from checks.adapters import table
 from jobloom.functions.contract import validate_contract
+from jobloom.functions.json import with_settled
 from jobloom.functions.text import (
     blank_to_null,
     extract_salary,
@@ -98,18 +99,9 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
-def typed_fields(df: DataFrame, *kept: str) -> DataFrame:
-    """Contract output as columns, so that values are compared and not JSON text."""
-    record = "slug STRING, company_name STRING, title STRING, description STRING, remote BOOLEAN, url STRING, " \
-        "tags ARRAY<STRING>, location STRING, created_at BIGINT"
-    parsed = df.select(*kept, F.from_json("typed", record).alias("t"))
-    t = F.col("t")
-    return parsed.select(
-        *kept,
-        t.isNotNull().alias("valid"),
-        *[t[c].alias(f"typed_{c}") for c in ("slug", "company_name", "title", "description", "remote", "url", "location", "created_at")],
-        F.concat_ws(",", t["tags"]).alias("typed_tags"),
-    )
+def parsed_json(df: DataFrame, text: str | Column, schema: str) -> DataFrame:
+    """Adds the members of a JSON text as ``j``, so that values are compared and not text."""
+    return with_settled(df, {"j": F.from_json(text, schema)})
 
 
 # --- sources, sinks, ingestion ----------------------------------------------
@@ -118,26 +110,39 @@ def typed_fields(df: DataFrame, *kept: str) -> DataFrame:
 @query
 def s1_unroll_pages(spark: SparkSession, sf: str) -> DataFrame:
     items = unroll_pages(adapters.job_pages(spark, events(spark, sf)), max_pages=ALL_PAGES)
-    posting = F.from_json("raw", "slug string, title string, location string, created_at bigint")
-    return items.select("page", posting.alias("_posting")).select("page", "_posting.*")
+    return parsed_json(items, "raw", "slug string, title string, location string, created_at bigint").select("page", "j.*")
 
 
 @query
 def s2_validate_contract(spark: SparkSession, sf: str) -> DataFrame:
     checked = validate_contract(adapters.raw(spark, events(spark, sf)), payload="payload")
-    return typed_fields(checked.select("event_id", "contract_error", "typed"), "event_id", "contract_error")
+    record = "slug string, company_name string, title string, description string, remote boolean, url string, " \
+        "location string, created_at bigint, tags array<string>"
+    fields = parsed_json(checked.select("event_id", "contract_error", "typed"), "typed", record)
+    texts = ("slug", "company_name", "title", "description", "remote", "url", "location", "created_at")
+    return fields.select(
+        "event_id",
+        "contract_error",
+        F.col("j").isNotNull().alias("valid"),
+        *[F.col(f"j.{c}").alias(f"typed_{c}") for c in texts],
+        F.concat_ws(",", "j.tags").alias("typed_tags"),
+    )
+
+
+def board_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    landed = adapters.raw(spark, events(spark, sf)).withColumnRenamed("payload", "raw")
+    return build_envelope(validate_contract(landed), "board_a", datetime(2024, 1, 31, tzinfo=UTC))
 
 
 @query
 def s3_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    landed = adapters.raw(spark, events(spark, sf)).withColumnRenamed("payload", "raw")
-    envelopes = build_envelope(validate_contract(landed), "board_a", datetime(2024, 1, 31, tzinfo=UTC))
-    return envelopes.select(
+    read = parsed_json(board_envelopes(spark, sf), "source_payload", "company_name string, created_at bigint")
+    return read.select(
         "source",
         "source_id",
         "ingested_at",
-        F.get_json_object("source_payload", "$.company_name").alias("payload_company"),
-        F.get_json_object("source_payload", "$.created_at").cast("bigint").alias("payload_created_at"),
+        F.col("j.company_name").alias("payload_company"),
+        F.col("j.created_at").alias("payload_created_at"),
         F.col("typed").isNotNull().alias("is_typed"),
     )
 
@@ -145,15 +150,14 @@ def s3_envelope(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def s4_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Key and value of every message, read back from their bytes."""
-    landed = adapters.raw(spark, events(spark, sf)).withColumnRenamed("payload", "raw")
-    sent = to_messages(build_envelope(validate_contract(landed), "board_a", datetime(2024, 1, 31, tzinfo=UTC)))
-    value = F.col("value").cast("string")
-    return sent.select(
+    message = "source_id string, ingested_at string, source_payload struct<company_name: string>, typed struct<title: string>"
+    read = parsed_json(to_messages(board_envelopes(spark, sf)), F.col("value").cast("string"), message)
+    return read.select(
         F.col("key").cast("string").alias("message_key"),
-        F.get_json_object(value, "$.source_id").alias("source_id"),
-        F.get_json_object(value, "$.ingested_at").alias("ingested_at"),
-        F.get_json_object(value, "$.source_payload.company_name").alias("payload_company"),
-        F.get_json_object(value, "$.typed.title").alias("typed_title"),
+        "j.source_id",
+        "j.ingested_at",
+        F.col("j.source_payload.company_name").alias("payload_company"),
+        F.col("j.typed.title").alias("typed_title"),
     )
 
 
