@@ -226,6 +226,8 @@ ORACLE = {
         SELECT source_id AS message_key, source_id, '2024-01-31T00:00:00.000000Z' AS ingested_at,
           company_name AS payload_company, CASE WHEN company_name IS NOT NULL THEN title END AS typed_title FROM post"""),
     "s5_drain_stream": _with("own", _BRONZE_SUMMARY),
+    "s6_replay": _with("own", f"""
+        SELECT * REPLACE (row_count * 2 AS row_count, typed_count * 2 AS typed_count) FROM ({_BRONZE_SUMMARY})"""),
     "s7_rederive": _with("own", """
         SELECT source_id, contract_error, count(*) AS row_count, count(*) FILTER (contract_error = 'none') AS typed_count
         FROM (SELECT j->>'source_id' AS source_id, coalesce(nullif(concat_ws(',',

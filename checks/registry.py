@@ -170,6 +170,16 @@ def s5_drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_summary(read_bronze(spark, root))
 
 
+@query
+def s6_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A drain and its replay under a new checkpoint: every row is in bronze twice."""
+    root = shared_dir(spark, "bronze")
+    for purpose in ("drain", "replay"):
+        stream = adapters.messages(spark, event_stream(spark, sf)).select("value")
+        drain(stream, "board_a", root, shared_dir(spark, purpose), WRITE_TIME).awaitTermination()
+    return bronze_summary(read_bronze(spark, root))
+
+
 def bronze_summary(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("ingest_date", "hour", "source", "source_id").agg(
         F.count(F.lit(1)).alias("row_count"),
