@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, mixing
+from jobloom.llm import chat, mixing, token_files
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words, sources weighing 3, 1, 2 in rotation, at most two epochs each."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "whole", "part")
+
+
+@query
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as rANS-coded token ids in files, and what the files hold."""
+    files, frequencies = token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_files.read_ids(spark, files, frequencies)
