@@ -16,7 +16,7 @@ SCALE_BITS = 20
 LANES = 1024
 BLOCK_TOKENS = 1 << 18
 _LOW = np.uint64(1 << 31)
-_HEAD = struct.Struct("<QII")
+_HEAD = "<QII"  # tokens, lanes, words
 
 
 class Table:
@@ -84,13 +84,13 @@ def encode_block(tokens: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
         whole = x // f
         state[: len(f)] = (whole << scale) + (x - whole * f) + c
     words = np.concatenate(pieces[::-1]) if pieces else np.empty(0, np.uint32)
-    return _HEAD.pack(n, lanes, len(words)) + state.tobytes() + words.tobytes()
+    return struct.pack(_HEAD, n, lanes, len(words)) + state.tobytes() + words.tobytes()
 
 
 def decode_block(data: bytes, table: Table) -> np.ndarray:
-    n, lanes, n_words = _HEAD.unpack_from(data)
-    state = np.frombuffer(data, np.uint64, lanes, _HEAD.size).copy()
-    words = np.frombuffer(data, np.uint32, n_words, _HEAD.size + 8 * lanes).astype(np.uint64)
+    n, lanes, n_words = struct.unpack_from(_HEAD, data)
+    state = np.frombuffer(data, np.uint64, lanes, struct.calcsize(_HEAD)).copy()
+    words = np.frombuffer(data, np.uint32, n_words, struct.calcsize(_HEAD) + 8 * lanes).astype(np.uint64)
     out = np.empty(n, np.uint16)
     mask, scale, word = np.uint64((1 << SCALE_BITS) - 1), np.uint64(SCALE_BITS), np.uint64(32)
     at = 0
