@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, mixing, token_files
+from jobloom.llm import chat, language, mixing, token_files
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,24 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "whole", "part")
 
 
+def held_out() -> Column:
+    """The fifth of the documents that teaches nothing; a null id is never held out and never teaches."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    return language.fit(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_model(docs.select("doc_id", "text", "lang"))
+    found = language.identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 @query
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as rANS-coded token ids in files, and what the files hold."""
