@@ -230,7 +230,7 @@ def write_ids(
     if n_buckets > 1:
         cuts = [i / n_buckets for i in range(1, n_buckets)]
         key = F.coalesce("id", F.lit(_NO_ID))
-        bounds = given.agg(F.percentile_approx(key, [F.lit(c) for c in cuts], F.lit(20 * n_buckets))).first()[0] or []
+        bounds = given.agg(F.percentile_approx(key, cuts, 20 * n_buckets)).first()[0] or []
     folder = shared_dir(spark, "token-ids")
     packed = written(
         given.mapInArrow(_tokenise(vocabulary, list(bounds), end_id), "bucket long, ids binary, ties binary, counts binary, tokens binary"),
