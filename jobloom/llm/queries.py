@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, language, mixing, token_files
+from jobloom.llm import chat, language, mixing, simhash, token_files
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,13 @@ FROM numbered GROUP BY conv_id
 """
 
 
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with fingerprint and class of near-duplicates."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words, sources weighing 3, 1, 2 in rotation, at most two epochs each."""
