@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, language, mixing, simhash, token_files
+from jobloom.llm import chat, decontaminate, language, mixing, simhash, token_files
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,45 @@ FROM numbered GROUP BY conv_id
 """
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_items(docs.select("doc_id", "text"), items.select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op6_decontaminate"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, list_slice(w, i, i + 9) AS win FROM (SELECT item, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10)
+  UNION SELECT item, w FROM b WHERE len(w) BETWEEN 1 AND 9),
+lens AS (SELECT DISTINCT len(win) AS l FROM windows),
+places AS (SELECT r, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens WHERE len(w) >= l),
+hits AS (
+  SELECT r, i, l, item FROM (SELECT r, i, l, list_slice(w, i, i + l - 1) AS win FROM places) p JOIN windows USING (win)),
+words AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS k FROM hits) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+"""
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with fingerprint and class of near-duplicates."""
