@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, decontaminate, language, mixing, simhash, token_files
+from jobloom.llm import chat, decontaminate, language, mixing, simhash, token_files, warc
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,32 @@ def query(fn):
     return fn
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, normalised to a member each, and read back through the sidecar index."""
+    _, folder = warc.archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    read = warc.read_records(warc.read_sidecars(spark, folder))
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return read.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        F.col("payload_sha256").alias("payload_digest"),
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+ORACLE["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 @query
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one hostile extra, formatted and read back from the output."""
