@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, decontaminate, language, mixing, simhash, token_files, warc
+from jobloom.llm import chat, decontaminate, language, mixing, simhash, suffix, token_files, warc
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 400-byte strings that occur again."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False).drop("kept")
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, normalised to a member each, and read back through the sidecar index."""
