@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, decontaminate, language, mixing, simhash, suffix, token_files, warc
+from jobloom.llm import chat, decontaminate, language, mixing, orderhash, simhash, suffix, token_files, warc
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +144,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against their edited texts and their successors."""
+    found = orderhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        orderhash.as_text(F.col("signature")).alias("fingerprint"),
+        orderhash.as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words, sources weighing 3, 1, 2 in rotation, at most two epochs each."""
