@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, decontaminate, language, mixing, orderhash, simhash, suffix, token_files, warc
+from jobloom.llm import chat, decontaminate, language, mixing, orderhash, simhash, suffix, token_counts, token_files, warc
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,13 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
 """
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens per line of all documents; a token across lines belongs to the line with most of it."""
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), rule="most")
+    return found.select("doc_id", F.col("section").alias("line"), "start", "stop", F.col("n_tokens").cast("long").alias("n_tokens"), "n_crossing")
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with fingerprint and class of near-duplicates."""

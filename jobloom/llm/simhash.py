@@ -50,16 +50,21 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+            found = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], names=["id", "tie", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(``id``, ``fp``): one 64-bit fingerprint, as a signed long, per row; null and blank texts give 0."""
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return given.mapInArrow(_fingerprints(width), "id long, fp long")
+    """(``id``, ``tie``, ``fp``): a hash of the text and one 64-bit fingerprint, as signed longs, per row.
+
+    Null and blank texts have fingerprint 0.
+    """
+    given = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary").alias("text")
+    )
+    return given.mapInArrow(_fingerprints(width), "id long, tie long, fp long")
 
 
 def ball_masks(radius: int) -> np.ndarray:
@@ -179,10 +184,12 @@ def near_duplicates(
     radius: int = 2,
     passes: int = 8,
 ) -> DataFrame:
-    """(``doc_id``, ``fp``, ``component_id``), one row per row of ``docs``.
+    """(``doc_id``, ``tie``, ``fp``, ``component_id``, ``stays``), one row per row of ``docs``.
 
     Documents link when their fingerprints differ in at most ``2 * radius`` bits; ``component_id`` is the smallest id
-    that can be reached, null where every reachable id is null.  Null and blank texts have fingerprint 0 and link like
+    that can be reached, null where every reachable id is null.  ``tie`` is a hash of the text; ``stays`` marks the row
+    with the smallest id (null last) and, among equal ids, the smallest ``tie`` of its component, so of a group one
+    document stays, and two only if they are equal in id and text.  Null and blank texts have fingerprint 0 and link like
     any other.  Equal fingerprints are one node from the start, so a group of copies costs one row.  Rows with equal
     ids stay separate rows.  An empty table gives an empty result; only the two named columns are read.
     """
@@ -192,18 +199,22 @@ def near_duplicates(
     spark.conf.set(switch, "true")  # a finished job's shuffle files go at once, not when the driver next collects garbage
     try:
         marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "simhash-marks")
-        distinct = written(marked.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
+        least = F.struct(F.col("id").isNull().alias("no_id"), "id", "tie")
+        distinct = written(marked.groupBy("fp").agg(F.min(least).alias("least")), "simhash-distinct")
         n = distinct.count()
         spread = distinct.repartition(max(1, n // 8192, spark.sparkContext.defaultParallelism))
         found = components(links(spread, n, radius=radius, passes=passes))
         placed = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-            "fp", "least_id", F.coalesce("component", "fp").alias("component")
+            "fp", "least", F.coalesce("component", "fp").alias("component")
         )
-        heads = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-        classes = written(placed.join(heads, "component").select("fp", "component_id"), "simhash-classes")
+        heads = placed.groupBy("component").agg(F.min("least").alias("head"))
+        classes = written(placed.join(heads, "component").select("fp", "head"), "simhash-classes")
     finally:
         if before is None:
             spark.conf.unset(switch)
         else:
             spark.conf.set(switch, before)
-    return marked.join(classes, "fp", "left").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    stays = F.col("id").eqNullSafe(F.col("head.id")) & (F.col("tie") == F.col("head.tie"))
+    return marked.join(classes, "fp", "left").select(
+        F.col("id").alias("doc_id"), "tie", "fp", F.col("head.id").alias("component_id"), stays.alias("stays")
+    )
