@@ -12,6 +12,51 @@ def _values(rows: tuple[tuple[str, str], ...]) -> str:
     return ", ".join(f"('{a}', '{b}')" for a, b in rows)
 
 
+# Every spelling of a city and of a country in lower case, in the order in which they are tried.
+CITY_SPELLINGS = (
+    ("berlin", "Berlin"),
+    ("munich", "Munich"),
+    ("münchen", "Munich"),
+    ("hamburg", "Hamburg"),
+    ("frankfurt", "Frankfurt"),
+    ("cologne", "Cologne"),
+    ("köln", "Cologne"),
+    ("vienna", "Vienna"),
+    ("wien", "Vienna"),
+    ("zurich", "Zurich"),
+    ("zürich", "Zurich"),
+)
+COUNTRY_SPELLINGS = (
+    ("germany", "DE"),
+    ("berlin", "DE"),
+    ("munich", "DE"),
+    ("münchen", "DE"),
+    ("hamburg", "DE"),
+    ("frankfurt", "DE"),
+    ("cologne", "DE"),
+    ("köln", "DE"),
+    ("austria", "AT"),
+    ("vienna", "AT"),
+    ("wien", "AT"),
+    ("switzerland", "CH"),
+    ("zurich", "CH"),
+    ("zürich", "CH"),
+)
+
+
+def _first_spelling(place: str, spellings: tuple[tuple[str, str], ...], other: str = "NULL") -> str:
+    cases = " ".join(f"WHEN {place} LIKE '%{text}%' THEN '{value}'" for text, value in spellings)
+    return f"CASE {cases} ELSE {other} END"
+
+
+def _city(place: str, location: str) -> str:
+    return _first_spelling(place, CITY_SPELLINGS, f"nullif(trim({location}), '')")
+
+
+def _country(place: str) -> str:
+    return _first_spelling(place, COUNTRY_SPELLINGS)
+
+
 # Common table expressions by name; each may use the ones above it.
 CTES = {
     "post": adapters.POST.format(events="events"),
@@ -28,17 +73,10 @@ CTES = {
         SELECT *, lower(location) AS place FROM (
           SELECT DISTINCT ON (source, source_id) * FROM log
           ORDER BY source, source_id, ingested_at DESC, posting_created_at DESC, event_id DESC)""",
-    "silver": """
+    "silver": f"""
         SELECT source, source_id, slug, company_name, title, description, url, location, remote, tags_json,
           '["full-time"]' AS job_types_json, posting_created_at, ingested_at AS last_seen_at,
-          CASE WHEN regexp_matches(place, 'berlin') THEN 'Berlin' WHEN regexp_matches(place, 'm(unich|ünchen)') THEN 'Munich'
-            WHEN regexp_matches(place, 'hamburg') THEN 'Hamburg' WHEN regexp_matches(place, 'frankfurt') THEN 'Frankfurt'
-            WHEN regexp_matches(place, 'cologne|köln') THEN 'Cologne' WHEN regexp_matches(place, 'vienna|wien') THEN 'Vienna'
-            WHEN regexp_matches(place, 'z[uü]rich') THEN 'Zurich' WHEN trim(location) <> '' THEN trim(location) END
-            AS city_normalized,
-          CASE WHEN regexp_matches(place, 'germany|berlin|m(unich|ünchen)|hamburg|frankfurt|cologne|köln') THEN 'DE'
-            WHEN regexp_matches(place, 'austria|vienna|wien') THEN 'AT'
-            WHEN regexp_matches(place, 'switzerland|z[uü]rich') THEN 'CH' END AS country_code
+          {_city('place', 'location')} AS city_normalized, {_country('place')} AS country_code
         FROM located""",
     "fct": """
         SELECT source_id AS posting_id, title, company_name, city_normalized AS city, country_code, remote, url,
@@ -145,8 +183,7 @@ _BRONZE_SUMMARY = """
 _LANDED = """
   SELECT 'board_a' AS source, source_id, '2024-01-31T00:00:00.000000Z' AS ingested_at"""
 
-_COUNTRY_OF_POST = """CASE WHEN regexp_matches(lower(location), 'germany|berlin|münchen|hamburg|frankfurt|köln') THEN 'DE'
-    WHEN regexp_matches(lower(location), 'austria|wien') THEN 'AT' WHEN regexp_matches(lower(location), 'switzerland|zürich') THEN 'CH' END"""
+_COUNTRY_OF_POST = _country("lower(location)")
 
 _NEWEST_FIRST = """ORDER BY posting_created_at DESC NULLS LAST, posting_id NULLS LAST, last_seen_at NULLS LAST,
     title NULLS LAST, company_name NULLS LAST, city NULLS LAST, country_code NULLS LAST, remote NULLS LAST, url NULLS LAST"""
@@ -226,6 +263,11 @@ ORACLE = {
         SELECT source_id AS message_key, source_id, '2024-01-31T00:00:00.000000Z' AS ingested_at,
           company_name AS payload_company, CASE WHEN company_name IS NOT NULL THEN title END AS typed_title FROM post"""),
     "s5_drain_stream": _with("own", _BRONZE_SUMMARY),
+    "s10_drain_metrics": _with("own", """
+        SELECT (SELECT count(*) FROM own) AS written, (SELECT count(*) FROM own) AS row_count,
+          (SELECT count(*) FROM parsed WHERE coalesce(json_type(j), '') <> 'OBJECT') AS bad_messages,
+          (SELECT count(*) FROM parsed WHERE json_type(j) = 'OBJECT' AND j->>'source' <> 'board_a') AS other_source,
+          CAST(0 AS BIGINT) AS unreadable_times"""),
     "s6_replay": _with("own", f"""
         SELECT * REPLACE (row_count * 2 AS row_count, typed_count * 2 AS typed_count) FROM ({_BRONZE_SUMMARY})"""),
     "s7_rederive": _with("own", """
@@ -281,6 +323,8 @@ ORACLE = {
     "w1_latest_posting": _with("silver", "SELECT * FROM silver"),
     "w2_streaming_upsert": _with("located", """
         SELECT event_id, source, source_id, title, location, ingested_at, posting_created_at FROM located"""),
+    "w2_replayed_upsert": _with("located", """
+        SELECT event_id, source, source_id, title, location, ingested_at, posting_created_at FROM located"""),
     "a1_dim_company": _with("companies", "SELECT * FROM companies"),
     "a2_remote_policy": _with("remote_daily", "SELECT * FROM remote_daily"),
     "a3_skill_demand": _with("demand", "SELECT * FROM demand"),
@@ -350,23 +394,24 @@ ORACLE = {
         first AS (SELECT DISTINCT ON (source, source_id) *, lower(location) AS place FROM log
           ORDER BY source, source_id, ingested_at, event_id),
         before AS (SELECT source_id, title, company_name,
-          CASE WHEN place LIKE '%berlin%' THEN 'Berlin' WHEN place LIKE '%münchen%' THEN 'Munich' WHEN place LIKE '%hamburg%' THEN 'Hamburg'
-            WHEN place LIKE '%frankfurt%' THEN 'Frankfurt' WHEN place LIKE '%köln%' THEN 'Cologne' WHEN place LIKE '%wien%' THEN 'Vienna'
-            WHEN place LIKE '%zürich%' THEN 'Zurich' ELSE nullif(trim(location), '') END AS city,
+          """ + _city("place", "location") + """ AS city,
           """ + _COUNTRY_OF_POST + """ AS country_code, remote, url, posting_created_at FROM first)
         SELECT (SELECT count(*) FROM now) = (SELECT count(*) FROM before) AS row_count_stable,
           (SELECT count(*) FROM (SELECT * FROM now EXCEPT SELECT * FROM before)) AS only_in_a,
           (SELECT count(*) FROM (SELECT * FROM before EXCEPT SELECT * FROM now)) AS only_in_b"""),
     "u1_table_diff_all": f"""
-        SELECT (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') = (SELECT count(*) FROM lineitem WHERE l_returnflag = 'N')
+        SELECT (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') = (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R')
             AS row_count_stable,
-          (SELECT count(*) FROM ({_LINE_SIDE} = 'R' EXCEPT ALL {_LINE_SIDE} = 'N')) AS only_in_a,
-          (SELECT count(*) FROM ({_LINE_SIDE} = 'N' EXCEPT ALL {_LINE_SIDE} = 'R')) AS only_in_b""",
+          (SELECT count(*) FROM ({_LINE_SIDE} = 'R' EXCEPT ALL {_LINE_SIDE} <> 'R')) AS only_in_a,
+          (SELECT count(*) FROM ({_LINE_SIDE} <> 'R' EXCEPT ALL {_LINE_SIDE} = 'R')) AS only_in_b""",
     "u2_blend": _with("silver", f"""
         SELECT source, source_id AS posting_id, title, company_name, remote, posting_created_at, city_normalized AS city, country_code
         FROM silver
         UNION ALL
         SELECT *, NULL, NULL FROM ({adapters.ORDER_BOARD.format(orders="orders")})"""),
+    "g_bronze_report": _with("own", """
+        SELECT 'bronze.ingested_at.readable' AS rule, count(*) FILTER (j->>'source_id' LIKE '%7') AS failed_rows,
+          count(*) FILTER (j->>'source_id' LIKE '%7') = 0 AS passed FROM own"""),
     "g_quality_report": _with("silver tags fct companies catalogue_skills demand remote_daily salaries", f"""
         SELECT rule, n AS failed_rows, n = 0 AS passed FROM ({_QUALITY})"""),
 }

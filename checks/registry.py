@@ -33,7 +33,7 @@ from jobloom.sources.bronze import expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import build_envelope, rederive, to_messages, unroll_pages
 from jobloom.sources.taxonomy import default_seed
-from jobloom.streaming.drain import drain
+from jobloom.streaming.drain import drain, drain_metrics
 from jobloom.streaming.upsert import read_upserted, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,6 @@ AS_OF = date(2024, 1, 31)
 MID_MONTH = datetime(2024, 1, 15)
 RUN_TS = datetime(2024, 2, 1)
 WRITE_TIME = datetime(2024, 1, 31, 9, tzinfo=UTC)
-ALL_PAGES = 2**31 - 2
 
 QUERIES: dict[str, Query] = {}
 
@@ -109,7 +108,7 @@ def parsed_json(df: DataFrame, text: str | Column, schema: str) -> DataFrame:
 
 @query
 def s1_unroll_pages(spark: SparkSession, sf: str) -> DataFrame:
-    items = unroll_pages(adapters.job_pages(spark, events(spark, sf)), max_pages=ALL_PAGES)
+    items = unroll_pages(adapters.job_pages(spark, events(spark, sf)))
     return parsed_json(items, "raw", "slug string, title string, location string, created_at bigint").select("page", "j.*")
 
 
@@ -170,6 +169,19 @@ def s5_drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_summary(read_bronze(spark, root))
 
 
+@query
+def s10_drain_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters of a drain beside what it wrote."""
+    stream = adapters.messages(spark, event_stream(spark, sf)).select("value")
+    root = shared_dir(spark, "bronze")
+    running = drain(stream, "board_a", root, shared_dir(spark, "drain"), WRITE_TIME)
+    running.awaitTermination()
+    seen = {k: v for k, v in drain_metrics(running).items() if k != "payload_bytes"}
+    return read_bronze(spark, root).agg(F.count(F.lit(1)).alias("written")).withColumns(
+        {k: F.lit(v).cast("bigint") for k, v in seen.items()}
+    )
+
+
 @query
 def s6_replay(spark: SparkSession, sf: str) -> DataFrame:
     """A drain and its replay under a new checkpoint: every row is in bronze twice."""
@@ -336,6 +348,17 @@ def w2_streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_upserted(spark, root, rows.schema)
 
 
+@query
+def w2_replayed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A first fold of the older half of the log, then the whole log under a new checkpoint."""
+    kept = ["event_id", *POSTING_KEY, "title", "location", "ingested_at", "posting_created_at"]
+    rows = adapters.staged(spark, event_stream(spark, sf)).select(*kept)
+    root, order = shared_dir(spark, "upsert"), newest_first([F.col("event_id").desc()])
+    for part in (rows.where(F.col("ingested_at") < MID_MONTH), rows):
+        upsert_stream(part, root, shared_dir(spark, "upsert-checkpoint"), POSTING_KEY, order, buckets=8).awaitTermination()
+    return read_upserted(spark, root, rows.schema)
+
+
 # --- joins and aggregations ----------------------------------------------------
 
 
@@ -476,11 +499,11 @@ def u1_table_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def u1_table_diff_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Returned against shipped lines of the order book, repeats counted."""
+    """Returned lines of the order book against all others, repeats counted."""
     lines = table(spark, sf, "lineitem")
     fields = ["l_quantity", "l_discount", "l_tax", "l_linestatus"]
     returned = lines.where(F.col("l_returnflag") == "R").select(*fields)
-    kept = lines.where(F.col("l_returnflag") == "N").select(*fields)
+    kept = lines.where(F.col("l_returnflag") != "R").select(*fields)
     return table_diff(returned, kept, all_rows=True)
 
 
@@ -500,6 +523,14 @@ def u2_blend(spark: SparkSession, sf: str) -> DataFrame:
     return gold.blend(first, spark.sql(adapters.ORDER_BOARD, orders=table(spark, sf, "orders")))
 
 
+@query
+def g_bronze_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule on the log itself, over a log in which some postings' times are unreadable."""
+    parsed = parse_messages(adapters.messages(spark, events(spark, sf)), "board_a")
+    spoilt = F.when(F.col("source_id").endswith("7"), F.lit("soon")).otherwise(F.col("ingested_at"))
+    return quality.check(bronze_rows(parsed).withColumn("ingested_at", spoilt), quality.bronze_rules(), "bronze.")
+
+
 @query
 def g_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     """Every rule of every table, over tables built from the whole log."""

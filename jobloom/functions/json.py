@@ -40,6 +40,16 @@ def opens_object(text: Column) -> Column:
     return F.coalesce(text.startswith("{"), F.lit(False))
 
 
+def quotes_a_brace(text: Column) -> Column:
+    """True when some string in a JSON text may begin with a brace, written plainly or as an escape."""
+    return F.coalesce(text.contains('"{') | text.rlike(r'"\\u007[bB]'), F.lit(False))
+
+
+def names_object(value: Column) -> Column:
+    """True for a VARIANT that is a JSON object."""
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
 def with_settled(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Adds costly columns that filters above must not compute again.
 

@@ -24,7 +24,7 @@ def staging(bronze: DataFrame) -> DataFrame:
     """Typed columns of every valid message; each JSON text is parsed once.
 
     A row whose ingestion time is malformed cannot be ordered and is left out;
-    ``quality.BRONZE_RULES`` counts it.
+    ``message_counts`` counts it on arrival and ``quality.bronze_rules`` in the gate.
     """
     timed = bronze.where(F.col("typed").isNotNull()).withColumn("_at", iso_to_timestamp(F.col("ingested_at")))
     parsed = with_settled(timed.where(F.col("_at").isNotNull()), {"_typed": F.from_json("typed", TYPED_POSTING)})
@@ -45,7 +45,9 @@ def staging(bronze: DataFrame) -> DataFrame:
 def newest_first(tiebreak: Sequence[Column] | None = None) -> list[Column]:
     """Order of W1: newest ingestion, then newest posting, then a stable tie-breaker."""
     if tiebreak is None:
-        tiebreak = [F.xxhash64(*STAGING.fieldNames()).desc()]
+        # The hash skips nulls, so which columns are null is hashed along.
+        nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in STAGING.fieldNames()])
+        tiebreak = [F.xxhash64(*STAGING.fieldNames(), nulls).desc()]
     return [F.col("ingested_at").desc_nulls_last(), F.col("posting_created_at").desc_nulls_last(), *tiebreak]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -16,7 +17,7 @@ from jobloom.operators.gold import (
     skill_demand_of,
 )
 from jobloom.operators.postings import posting_tags, silver_postings, staging
-from jobloom.operators.quality import gate, quality_report, table_rules, warehouse_tables
+from jobloom.operators.quality import bronze_rules, check, gate, quality_report, table_rules, warehouse_tables
 from jobloom.operators.scd import snapshot
 from jobloom.schemas import POSTING_KEY
 
@@ -35,13 +36,21 @@ STAGING_VIEW = "stg_postings"
 
 
 def materialize(
-    df: DataFrame, name: str, kind: str = "table", buckets: int | None = None, keys: Sequence[str] = POSTING_KEY
+    df: DataFrame,
+    name: str,
+    kind: str = "table",
+    buckets: int | None = None,
+    keys: Sequence[str] = POSTING_KEY,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """S13 (action for tables): the data under ``name``, and a DataFrame reading it.
 
-    A table is written next to its predecessor and then takes its place, so it
-    may be built from itself.  ``buckets`` stores it hashed and sorted by ``keys``:
-    later joins on the keys need no shuffle.
+    Each build writes a folder of its own; then one catalog call points the table
+    at it, so readers see the old rows or the new ones, and a build that dies
+    loses nothing.  A table may be built from itself.  The folder before stays for
+    readers that have begun, until the build after next.  ``buckets`` stores the
+    table hashed and sorted by ``keys``: later joins on the keys need no shuffle;
+    ``partition_by`` makes folders that a filter on those columns prunes.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -50,17 +59,82 @@ def materialize(
     if kind != "table":
         raise ValueError("kind must be 'table' or 'view'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0] or 'default'}")
+    recover(spark, name)
     following = f"{name}__next"
+    database, _, short = name.rpartition(".")
+    root = spark.sql(f"DESCRIBE DATABASE {database or 'default'}").where("info_name = 'Location'").first()[1]
+    path = f"{root.rstrip('/')}/{short}__{uuid.uuid4().hex}"
     writer = df if buckets is None else df.repartition(buckets, *keys)
-    writer = writer.write.mode("overwrite").format("parquet").option("compression", "zstd")
+    writer = writer.write.format("parquet").option("compression", "zstd").option("path", path)
     if buckets is not None:
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(following)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    swap(spark, name)
     return spark.table(name)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()[1]
+
+
+def _shape(spark: SparkSession, name: str) -> tuple:
+    """What has to stay the same for a table to be pointed at another folder."""
+    layout = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name in ('Num Buckets', 'Bucket Columns')")
+    columns = [(f.name, f.dataType) for f in spark.table(name).schema]
+    return columns, sorted(tuple(r)[:2] for r in layout.collect())
+
+
+def swap(spark: SparkSession, name: str) -> None:
+    """Action: the finished build ``name__next`` becomes ``name``.
+
+    An existing table of the same shape is pointed at the new folder in one call.
+    A first build is renamed; its folder is outside the catalog's care, so nothing
+    is copied.  A table of another shape, or one whose partitions the catalog
+    lists one by one, is replaced in two calls, which ``recover`` completes should
+    a build die between them.
+    """
+    following = f"{name}__next"
+    exists = spark.catalog.tableExists(name)
+    old = _location(spark, name) if exists else None
+    older = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'jobloom.previous'").first() if exists else None
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(following))
+    if exists and not partitioned and _shape(spark, name) == _shape(spark, following):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_location(spark, following)}'")
+        spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {following}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    if old is not None:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('jobloom.previous' = '{old}')")
+    if older is not None and older[1] not in (old, _location(spark, name)):
+        _remove(spark, older[1])
+
+
+def recover(spark: SparkSession, name: str) -> None:
+    """Action: completes or clears what a build that died has left behind.
+
+    ``name__next`` is in the catalog only when all its files are written.  Without
+    ``name`` it is the newest complete table and takes its place, so a history is
+    never begun anew while one lies there; beside ``name`` it is dropped and built
+    again from the rows ``name`` still has.
+    """
+    following = f"{name}__next"
+    if not spark.catalog.tableExists(following):
+        return
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {following}")
+    else:
+        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def build(
     spark: SparkSession, bronze: DataFrame, seed: DataFrame, run_ts: datetime, buckets: int | None = None
 ) -> dict[str, DataFrame]:
@@ -72,6 +146,7 @@ def build(
     staged = materialize(staging(bronze), STAGING_VIEW, kind="view")
     silver = materialize(silver_postings(staged), TABLES["silver_postings"], buckets=buckets)
     past = TABLES["snp_postings"]
+    recover(spark, past)
     previous = spark.table(past) if spark.catalog.tableExists(past) else None
     skills = materialize(dim_skill(seed), TABLES["dim_skill"])
     derived = {
@@ -87,11 +162,20 @@ def build(
     return {"silver_postings": silver, "dim_skill": skills, "snp_postings": history, **tables}
 
 
-def verify(spark: SparkSession, source: str | None = None) -> int:
-    """G13 (action): checks the written tables; 0 passed, 1 failed, 2 missing."""
+def verify(spark: SparkSession, source: str | None = None, bronze: DataFrame | None = None) -> int:
+    """G13 (action): checks the written tables; 0 passed, 1 failed, 2 missing.
+
+    ``bronze`` adds the rule on the log itself: rows that staging leaves out
+    because nobody can read their time fail the gate.
+    """
     rules = table_rules(source)
     tables = warehouse_tables(spark, {name: TABLES[name] for name in rules})
-    return gate(None if tables is None else quality_report(tables, rules))
+    if tables is None:
+        return gate(None)
+    report = quality_report(tables, rules)
+    if bronze is not None:
+        report = report.unionByName(check(bronze, bronze_rules(), "bronze."))
+    return gate(report)
 
 
 def run(
@@ -104,4 +188,4 @@ def run(
 ) -> int:
     """Action: builds every table in order, then returns the gate's verdict."""
     build(spark, bronze, seed, run_ts, buckets)
-    return verify(spark, source)
+    return verify(spark, source, bronze)

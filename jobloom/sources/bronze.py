@@ -24,6 +24,7 @@ class BronzeMetrics:
     row_count: int
     bad_messages: int
     other_source: int
+    unreadable_times: int
     payload_bytes: int
     path: str
 

@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.functions.json import is_object, opens_object, read_object, with_settled
+from jobloom.functions.json import is_object, names_object, opens_object, quotes_a_brace, read_object, with_settled
+from jobloom.functions.text import iso_to_timestamp
 
 # JSON texts that count as no typed record at all.
 EMPTY_JSON = ("null", "{}", "[]", '""', "0", "0.0", "-0.0", "false")
 
 
+COUNTERS = ("row_count", "bad_messages", "other_source", "unreadable_times", "payload_bytes")
 MEMBERS = ("source", "source_id", "ingested_at", "source_payload", "typed")
 
 
 def _json_text(member: str) -> Column:
-    """JSON text of a member: objects, the rule, are at hand; the rest is read again."""
+    """JSON text of a member: objects, the rule, are at hand; the rest is read again.
+
+    A text member may itself begin with a brace, so where the message has such a
+    text anywhere the member's JSON type decides.
+    """
     text = F.col(f"_read.{member}")
     again = F.from_json("_text", f"{member} variant")[member]
-    return F.when(opens_object(text), text).otherwise(F.to_json(again))
+    is_object_text = opens_object(text) & (~quotes_a_brace(F.col("_text")) | names_object(again))
+    return F.when(is_object_text, text).otherwise(F.to_json(again))
 
 
 def parse_messages(messages: DataFrame, source: str) -> DataFrame:
@@ -61,5 +68,6 @@ def message_counts() -> list[Column]:
         F.count_if(kept).alias("row_count"),
         F.count_if("bad").alias("bad_messages"),
         F.count_if("other_source").alias("other_source"),
+        F.count_if(kept & iso_to_timestamp(F.col("ingested_at")).isNull()).alias("unreadable_times"),
         F.coalesce(F.sum(F.when(kept, size.cast("bigint"))), F.lit(0).cast("bigint")).alias("payload_bytes"),
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobloom.functions.contract import validate_contract
-from jobloom.functions.json import one_value, opens_object
+from jobloom.functions.json import names_object, one_value, opens_object, quotes_a_brace
 
 # Delivery settings of the message sink.
 KAFKA_SINK = {
@@ -24,27 +24,31 @@ KAFKA_SINK = {
 _BYTES_PER_MESSAGE = 4096
 
 
-def unroll_pages(pages: DataFrame, max_pages: int = 10, observe: Observation | None = None) -> DataFrame:
+def unroll_pages(pages: DataFrame, max_pages: int | None = None, observe: Observation | None = None) -> DataFrame:
     """One row per posting object on the pages before the first empty one.
 
     A page ends the walk when its ``data`` is missing, null, empty or no array.
     The end is a scalar subquery, so the pages themselves are never shuffled.
     ``raw`` is the item's JSON text.  Items that are not objects are left out;
-    ``observe`` counts them.
+    ``observe`` counts them.  All landed pages count unless ``max_pages`` is given.
     """
-    if max_pages < 1:
+    if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
-    within = pages.where(F.col("page").between(1, max_pages))
+    within = pages.where(F.col("page") >= 1)
+    if max_pages is not None:
+        within = within.where(F.col("page") <= max_pages)
     data = F.when(one_value(F.col("payload")), F.from_json("payload", "data array<string>")["data"])
     ending = within.where(F.coalesce(F.size(data), F.lit(0)) < 1)
-    past_end = F.lit(max_pages + 1).cast(pages.schema["page"].dataType)
-    first_end = ending.agg(F.coalesce(F.min("page"), past_end))
-    items = within.where(F.col("page") < first_end.scalar()).select("page", F.explode(data).alias("raw"))
+    first_end = ending.agg(F.min("page")).scalar()
+    # Only a page with a string that begins with a brace needs its items' JSON types.
+    typed = F.when(quotes_a_brace(F.col("payload")), F.from_json("payload", "data array<variant>")["data"])
+    items = within.where(first_end.isNull() | (F.col("page") < first_end)).select(
+        "page", F.posexplode(data).alias("_place", "raw"), typed.alias("_typed")
+    )
+    kept = opens_object(F.col("raw")) & (F.col("_typed").isNull() | names_object(F.get("_typed", F.col("_place"))))
     if observe is not None:
-        items = items.observe(
-            observe, F.count(F.lit(1)).alias("items"), F.count_if(~opens_object(F.col("raw"))).alias("bad_items")
-        )
-    return items.where(opens_object(F.col("raw")))
+        items = items.observe(observe, F.count(F.lit(1)).alias("items"), F.count_if(~kept).alias("bad_items"))
+    return items.where(kept).select("page", "raw")
 
 
 def _iso(now: datetime | Column) -> Column:

@@ -52,5 +52,9 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_seed(spark: SparkSession) -> DataFrame:
-    """The built-in taxonomy in the same shape."""
-    return spark.createDataFrame(list(SKILLS), SEED_SCHEMA)
+    """The built-in taxonomy in the same shape.
+
+    As SQL values the planner knows its size, so tags are never shuffled to meet it.
+    """
+    values = ", ".join(f"('{canonical}', '{aliases}')" for canonical, aliases in SKILLS)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS seed(canonical, aliases)")

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobloom.sources.bronze import append_run, with_write_time
-from jobloom.sources.messages import bronze_rows, message_counts, parse_messages
+from jobloom.sources.messages import COUNTERS, bronze_rows, message_counts, parse_messages
 
 MESSAGE_SCHEMA = "key BINARY, value BINARY"
-METRICS = "drain"
 
 
 def message_stream(
@@ -45,26 +43,30 @@ def drain(
     batch's own logged clock; a batch repeated after a crash replaces itself.
     S6: a new checkpoint replays from the start, as further runs.
     """
-    parsed = parse_messages(messages.where(F.col("value").isNotNull()), source).observe(METRICS, *message_counts())
-    rows = with_write_time(bronze_rows(parsed), write_time)
+    parsed = parse_messages(messages.where(F.col("value").isNotNull()), source)
+    rows = with_write_time(parsed, write_time)
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    counts: dict[int, dict[str, int]] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_run(batch, root, f"{name}-{batch_id}")
+        seen = Observation()
+        append_run(bronze_rows(batch.observe(seen, *message_counts())), root, f"{name}-{batch_id}")
+        counts[batch_id] = seen.get  # a repeated batch counts once
 
-    return (
+    query = (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.batch_counts = counts
+    return query
 
 
 def drain_metrics(query: StreamingQuery) -> dict[str, int]:
-    """Counters summed over the batches in the query's recent progress."""
-    total: Counter[str] = Counter(row_count=0, bad_messages=0, other_source=0, payload_bytes=0)
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(METRICS)
-        if seen is not None:
-            total.update({k: v for k, v in seen.asDict().items() if v is not None})
-    return dict(total)
+    """Counters summed over every batch the query has written, however many there were."""
+    total = dict.fromkeys(COUNTERS, 0)
+    for seen in list(query.batch_counts.values()):
+        for name in total:
+            total[name] += seen[name] or 0
+    return total

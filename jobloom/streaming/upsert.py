@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -83,19 +84,56 @@ def upsert_batch(
         newest.unpersist()
 
 
+def _take_over(spark: SparkSession, root: str, checkpoint: str, schema: StructType) -> int:
+    """The first generation of a checkpoint; owners are noted below ``root`` where readers do not look."""
+    place = f"{root}/_owners"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    known = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    owners = {r.owner: r.first for r in spark.read.schema("owner string, first long").json(place).collect()} if known else {}
+    owner = hashlib.sha256(checkpoint.encode()).hexdigest()
+    if owner in owners:
+        if owners[owner] != max(owners.values()):
+            raise ValueError(f"{root} has been taken over by another checkpoint")
+        return owners[owner]
+    newest = spark.read.schema(_stored(schema)).parquet(root).agg(F.max(GENERATION)).first()[0]
+    first = max([-1 if newest is None else newest, *owners.values()]) + 1
+    spark.createDataFrame([(owner, first)], "owner string, first long").coalesce(1).write.mode("append").json(place)
+    return first
+
+
+def drop_superseded(spark: SparkSession, root: str, schema: StructType) -> int:
+    """Action: removes the generations that a newer one of the same bucket has replaced; returns how many.
+
+    The newest generation of a bucket holds its live rows however old it is, so
+    age says nothing.  Run it when no reader is at work on an old generation.
+    """
+    seen = spark.read.schema(_stored(schema)).parquet(root).select(BUCKET, GENERATION).distinct()
+    newest = seen.groupBy(BUCKET).agg(F.max(GENERATION).alias("_newest"))
+    old = seen.join(newest, BUCKET).where(F.col(GENERATION) < F.col("_newest")).collect()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in old:
+        place = jvm.org.apache.hadoop.fs.Path(f"{root}/{BUCKET}={row[BUCKET]}/{GENERATION}={row[GENERATION]}")
+        place.getFileSystem(conf).delete(place, True)
+    return len(old)
+
+
 def upsert_stream(
     rows: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column], buckets: int = 256
 ) -> StreamingQuery:
     """W2 (starts a query): keeps the newest row per key of a stream below ``root``.
 
-    The root belongs to this checkpoint: its generations are the batch numbers.
+    A checkpoint takes the root over when it first writes to it: its generations
+    follow all that are there, so a replay under a new checkpoint is folded in
+    like any other batch.  A checkpoint that has lost the root to a later one is
+    refused, because what it writes would be hidden.
     """
 
     # An empty write creates the root, so the first batch finds a table to read.
     rows.sparkSession.createDataFrame([], _stored(rows.schema)).write.mode("append").parquet(root)
+    first = _take_over(rows.sparkSession, root, checkpoint, rows.schema)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, root, keys, order, buckets)
+        upsert_batch(batch, first + batch_id, root, keys, order, buckets)
 
     return (
         rows.writeStream.foreachBatch(fold)

@@ -37,7 +37,7 @@ def test_full_build_twice(spark, tmp_path, buckets):
     assert plans.verify(spark, "board") == 2
     root = str(tmp_path / "bronze")
     seed = default_seed(spark)
-    ingest(spark, root, datetime(2024, 1, 2, tzinfo=UTC), raw("a"), raw("b", remote=False), {"slug": "broken"})
+    ingest(spark, root, datetime(2024, 1, 2, tzinfo=UTC), raw("a"), raw("b", remote=False), {"slug": "half"})
     assert plans.run(spark, read_bronze(spark, root), seed, datetime(2024, 1, 2), "board", buckets) == 0
 
     gold = {n: spark.table(t) for n, t in plans.TABLES.items()}
