@@ -366,7 +366,9 @@ def remove_repeats(
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary").alias("text"))
     runs = written(given.mapInArrow(_find_runs(length, anchor), _RUNS), "repeat-runs")
     values = runs.groupBy("value").agg(F.count("*").alias("n"), F.max("twice").alias("any_twice")).where("n > 1 or any_twice")
-    shared = written(runs.join(values.select("value"), "value"), "repeat-shared")
+    # As tables, both sides of a join are plain scans, and adaptive execution can split a hot value's partition.
+    values = written(values.select("value"), "repeat-values")
+    shared = written(runs.join(values, "value"), "repeat-shared")
     # first() of several columns comes from one row: all are updated together.
     distinct = shared.groupBy("value", "run_1", "run_2").agg(
         F.count("*").alias("n"),
@@ -378,10 +380,11 @@ def remove_repeats(
     )
     distinct = written(distinct, "repeat-distinct")
     kinds = distinct.groupBy("value").agg(F.count("*").alias("n_runs"), F.max("twice").alias("any_twice"))
+    kinds = written(kinds.where("n_runs > 1 or any_twice").drop("any_twice"), "repeat-kinds")
     salt = F.when(
         F.col("n_runs") > runs_per_salt, F.pmod(F.col("run_1"), F.ceil(F.col("n_runs") / (runs_per_salt / 2))).cast("int")
     ).otherwise(F.lit(-1))
-    asked = distinct.join(kinds.where("n_runs > 1 or any_twice").drop("any_twice"), "value").select(
+    asked = distinct.join(kinds, "value").select(
         "doc_id", "tie", F.struct("value", salt.alias("salt"), "run_1", "run_2", "begin", "size").alias("wanted")
     )
     per_doc = asked.groupBy("doc_id", "tie").agg(F.collect_list("wanted").alias("wanted"))
