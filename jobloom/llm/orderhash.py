@@ -18,6 +18,8 @@ from jobloom.functions.json import with_settled
 _PLACE_BITS = 30
 _CELL_BITS = 6
 CELLS = 1 << _CELL_BITS
+#: K-mers that occur up to so many times are numbered by looking back.
+_SELDOM = 4
 
 
 def _packed(value: Column, place: Column) -> Column:
@@ -29,6 +31,10 @@ def _hash_part(packed: Column) -> Column:
     return F.shiftright(packed, _PLACE_BITS)
 
 
+def _place(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+
+
 def _cell(packed: Column) -> Column:
     return F.shiftright(packed, 63 - _CELL_BITS)
 
@@ -47,35 +53,52 @@ def with_signature(df: DataFrame, text_col: str, out_col: str, *, k: int = 2, tu
     places = F.when(n_kmers > 0, F.sequence(F.lit(0), F.greatest(n_kmers - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
     kmer = lambda i: F.xxhash64(*[F.get("o_words", i + d) for d in range(k)])
     step = with_settled(step, {"o_kmers": F.sort_array(F.transform(places, lambda i: _packed(kmer(i), i)))})
-    # Equal k-mers now lie together in text order: where a stretch of them begins, numbering starts again.
-    fresh = lambda x, i: (i == 0) | (_hash_part(x) != _hash_part(F.get("o_kmers", i - 1)))
-    begins = F.filter(F.transform("o_kmers", lambda x, i: F.when(fresh(x, i), i)), lambda i: i.isNotNull())
-    step = with_settled(step, {"o_begins": begins})
-
-    def numbered(begin: Column, j: Column) -> Column:
-        size = F.coalesce(F.get("o_begins", j + 1), F.size("o_kmers")) - begin
-        return F.transform(
-            F.slice("o_kmers", begin + 1, size),
-            lambda x, number: _packed(F.xxhash64(_hash_part(x), number), x.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))),
-        )
-
-    step = with_settled(step, {"o_pairs": F.sort_array(F.flatten(F.transform("o_begins", numbered)))})
+    # Equal k-mers now lie together in text order.  A k-mer's number is how many equal ones lie before it: most occur
+    # a few times only, which a look back tells; where one occurs more often, numbering starts where its stretch does.
+    size = F.size("o_kmers")
+    equal = lambda x, i, back: (i >= back) & (_hash_part(x) == _hash_part(F.get("o_kmers", i - back)))
+    later = lambda first: F.when(size > first, F.sequence(F.lit(first), size - 1)).otherwise(F.array().cast("array<int>"))
+    often = F.exists(later(_SELDOM), lambda i: _hash_part(F.get("o_kmers", i)) == _hash_part(F.get("o_kmers", i - _SELDOM)))
+    begins = F.filter(later(0), lambda i: (i == 0) | (_hash_part(F.get("o_kmers", i)) != _hash_part(F.get("o_kmers", i - 1))))
+    step = with_settled(step, {"o_often": often})
+    step = with_settled(step, {"o_begins": F.when(F.col("o_often"), begins)})
+
+    def pair(x: Column, number: Column) -> Column:
+        return _packed(F.xxhash64(_hash_part(x), number), _place(x))
+
+    def seldom(x: Column, i: Column) -> Column:
+        number = F.lit(_SELDOM - 1)
+        for back in range(_SELDOM - 1, 0, -1):
+            number = F.when(equal(x, i, back), number).otherwise(F.lit(back - 1))
+        return pair(x, number)
+
+    def stretch(begin: Column, j: Column) -> Column:
+        length = F.coalesce(F.get("o_begins", j + 1), size) - begin
+        return F.transform(F.slice("o_kmers", begin + 1, length), pair)
+
+    pairs = F.when(~F.col("o_often"), F.transform("o_kmers", seldom)).otherwise(F.flatten(F.transform("o_begins", stretch)))
+    step = with_settled(step, {"o_pairs": F.sort_array(pairs)})
     least = F.filter("o_pairs", lambda x, i: (i < tuple_size) | (_cell(x) != _cell(F.get("o_pairs", i - tuple_size))))
     step = with_settled(step, {"o_least": least})
-    place_of = lambda x: x.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.lit(CELLS - 1)),
-        lambda c: F.transform(
-            F.array_sort(
-                F.transform(
-                    F.filter("o_least", lambda x: _cell(x) == c),
-                    lambda x: F.struct(place_of(x).alias("place"), _hash_part(x).alias("pair")),
-                )
-            ),
-            lambda s: s["pair"],
-        ),
+    n_least = F.size("o_least")
+    heads = F.filter(
+        F.when(n_least > 0, F.sequence(F.lit(0), n_least - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: (i == 0) | (_cell(F.get("o_least", i)) != _cell(F.get("o_least", i - 1))),
     )
-    signature = F.transform(cells, lambda t: F.when(F.size(t) > 0, F.xxhash64(t).bitwiseAND(F.lit(0xFFFF)).cast("int")))
+    step = with_settled(step, {"o_heads": heads})
+
+    def entry(head: Column, j: Column) -> Column:
+        length = F.coalesce(F.get("o_heads", j + 1), n_least) - head
+        by_place = F.transform(
+            F.slice("o_least", head + 1, length), lambda x: F.shiftleft(_place(x), 33).bitwiseOR(_hash_part(x))
+        )
+        ordered = F.transform(F.sort_array(by_place), lambda y: y.bitwiseAND(F.lit((1 << 33) - 1)))
+        return F.struct(
+            _cell(F.get("o_least", head)).cast("int").alias("cell"), F.xxhash64(ordered).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("hash")
+        )
+
+    step = with_settled(step, {"o_cells": F.map_from_entries(F.transform("o_heads", entry))})
+    signature = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.try_element_at("o_cells", c))
     signature = F.when(F.col(text_col).isNotNull(), signature)
     return with_settled(step, {out_col: signature}).select(*kept, out_col)
 
