@@ -335,6 +335,7 @@ ORACLE = {
         FROM tags JOIN skills ON tag = alias
         JOIN silver ON silver.source = tags.source AND silver.source_id = tags.source_id GROUP BY ALL"""),
     "a4_dim_skill": _with("catalogue_skills", "SELECT * FROM catalogue_skills"),
+    "s12_seed_csv": _with("catalogue_skills", "SELECT * FROM catalogue_skills"),
     "c1_scd2_history": _with("history", "SELECT * FROM history"),
     "c2_scd2_apply": _with("observed silver", """
         , past AS (

@@ -32,7 +32,7 @@ from jobloom.session import shared_dir
 from jobloom.sources.bronze import expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import build_envelope, rederive, to_messages, unroll_pages
-from jobloom.sources.taxonomy import default_seed
+from jobloom.sources.taxonomy import default_seed, read_seed
 from jobloom.streaming.drain import drain, drain_metrics
 from jobloom.streaming.upsert import read_upserted, upsert_stream
 
@@ -390,6 +390,14 @@ def a4_dim_skill(spark: SparkSession, sf: str) -> DataFrame:
     return gold.dim_skill(spark.sql(adapters.CATALOGUE, part=table(spark, sf, "part")))
 
 
+@query
+def s12_seed_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A taxonomy written as a CSV file with a header and read as the seed."""
+    path = shared_dir(spark, "seed")
+    spark.sql(adapters.CATALOGUE, part=table(spark, sf, "part")).write.option("header", True).csv(path)
+    return gold.dim_skill(read_seed(spark, path))
+
+
 # --- history --------------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ def scd2_from_history(
     keys: Sequence[str] = POSTING_KEY,
     check_cols: Sequence[str] = VERSIONED_COLUMNS,
     order: Sequence[str] = (OBSERVED,),
-    grain: str = "minute",
+    grain: str = "week",
     ranges: int | None = None,
 ) -> DataFrame:
     """Every version of every key, from a log of observations.
@@ -35,10 +35,11 @@ def scd2_from_history(
     later columns break ties; columns of ``order`` outside the log's own set stay
     in the result.
 
-    No task sees a whole key.  The history of a key is cut into chunks, each a
-    stretch of ``order``: changes inside a chunk are found first, and only each
-    chunk's first and last kept row meet in a second, per-key window.  Chunks are
-    time units of ``grain``; with ``ranges`` they are that many sampled ranges
+    The history of a key is cut into chunks, each a stretch of ``order``: changes
+    inside a chunk are found first, and only each chunk's first and last kept row
+    meet in a second, per-key window.  Chunks are time units of ``grain``, which
+    should hold many observations of a key: a week of observations every quarter
+    of an hour is 672 rows, of which two and the changes go on.  With ``ranges`` they are that many sampled ranges
     over keys and order, for logs in which one key repeats a single timestamp
     very often.
     """

@@ -140,14 +140,16 @@ def skill_names(demand: DataFrame) -> DataFrame:
     return demand.select("skill").distinct().orderBy(F.col("skill").asc_nulls_last())
 
 
-def skill_series(demand: DataFrame, skills: Sequence[str] | None = None, country: str | None = None) -> DataFrame:
+def skill_series(
+    demand: DataFrame, skills: Sequence[str] | None = None, country: str | None = None, preselected: int = 6
+) -> DataFrame:
     """Q6 (A8, P26, P27, O5): postings per day for the chosen skills.
 
-    Without a choice the first six skill names are taken, as a selection starts.
+    Without a choice the first ``preselected`` skill names are taken, as a selection starts.
     """
     rows = in_country(demand, country)
     if skills is None:
-        rows = rows.join(skill_names(demand).limit(6), "skill", "left_semi")
+        rows = rows.join(skill_names(demand).limit(preselected), "skill", "left_semi")
     elif not skills:
         raise ValueError("choose at least one skill")
     else:

@@ -60,7 +60,7 @@ def random_log(seed, size, keys, spread, changes):
     return log
 
 
-@pytest.mark.parametrize("grain", ["minute", "hour", "day"])
+@pytest.mark.parametrize("grain", ["minute", "hour", "day", "week"])
 @pytest.mark.parametrize(("spread", "changes"), [(40, 0.9), (2000, 0.05), (3, 0.5)])
 def test_history_equals_a_plain_walk(spark, grain, spread, changes):
     log = random_log(spread, 1500, 6, spread, changes)
