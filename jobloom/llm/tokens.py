@@ -16,7 +16,7 @@ import numpy as np
 
 #: Pieces and words kept per worker; beyond it they are encoded each time they occur.
 PIECES_KEPT = 300_000
-WORDS_KEPT = 600_000
+WORDS_KEPT = 500_000
 
 
 def default_vocabulary() -> str:
