@@ -346,7 +346,6 @@ def remove_repeats(
     length: int = MIN_LENGTH,
     anchor: int = ANCHOR,
     block_bytes: int = 4 << 20,
-    runs_per_salt: int = 4096,
     keep_text: bool = True,
 ) -> DataFrame:
     """Removes every byte covered by a ``length``-byte string that also starts anywhere else in ``docs``.
@@ -358,9 +357,9 @@ def remove_repeats(
     others and lose everything from ``length`` bytes on.  Ids have to be integers or null; other columns are not read.
     An empty table gives an empty result.
 
-    ``anchor`` (a multiple of 8, below ``length``) is the width of the hashes.  A value with more than
-    ``runs_per_salt`` different runs is split over blocks, whose classes are then compared by 128-bit hashes of whole
-    strings, so no block grows with the corpus.
+    ``anchor`` (a multiple of 8, below ``length``) is the width of the hashes.  A value whose different runs have more
+    than ``block_bytes`` bytes is split over blocks, whose classes are then compared by 128-bit hashes of whole strings,
+    so no block grows with the corpus.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary").alias("text"))
@@ -379,10 +378,12 @@ def remove_repeats(
         F.first("twice").alias("twice"),
     )
     distinct = written(distinct, "repeat-distinct")
-    kinds = distinct.groupBy("value").agg(F.count("*").alias("n_runs"), F.max("twice").alias("any_twice"))
+    kinds = distinct.groupBy("value").agg(
+        F.count("*").alias("n_runs"), F.sum(F.col("size") + length).alias("n_bytes"), F.max("twice").alias("any_twice")
+    )
     kinds = written(kinds.where("n_runs > 1 or any_twice").drop("any_twice"), "repeat-kinds")
     salt = F.when(
-        F.col("n_runs") > runs_per_salt, F.pmod(F.col("run_1"), F.ceil(F.col("n_runs") / (runs_per_salt / 2))).cast("int")
+        F.col("n_bytes") > block_bytes, F.pmod(F.col("run_1"), F.ceil(F.col("n_bytes") / (block_bytes / 2))).cast("int")
     ).otherwise(F.lit(-1))
     asked = distinct.join(kinds, "value").select(
         "doc_id", "tie", F.struct("value", salt.alias("salt"), "run_1", "run_2", "begin", "size").alias("wanted")

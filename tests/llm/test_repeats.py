@@ -52,8 +52,7 @@ def test_remove_repeats_equals_brute_force(spark, salted):
     extra = [(100 + i, f"{words(60 + i, 20)} {common} {words(90 + i, 20)}") for i in range(12)]
     extra += [(200, "x" * 50 + common), (201, common * 3)]
     docs = awkward(spark, *extra)
-    options = {"length": 48, "anchor": 16, "block_bytes": 3000, "runs_per_salt": 2 if salted else 4096}
-    got = suffix.remove_repeats(docs, **options)
+    got = suffix.remove_repeats(docs, length=48, anchor=16, block_bytes=150 if salted else 3000)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     found = sorted((tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in got.select(*names).collect()), key=key)
     assert found == removed(texts_of(docs), 48)
