@@ -78,3 +78,19 @@ def read_bronze(spark: SparkSession, root: str, since: date | None = None) -> Da
 def expire_partitions(df: DataFrame, as_of: date, days: int = 90) -> DataFrame:
     """Without the partitions written more than ``days`` days before ``as_of``."""
     return df.where(F.col("ingest_date") >= (as_of - timedelta(days=days)).isoformat())
+
+
+def drop_expired(spark: SparkSession, root: str, as_of: date, days: int = 90) -> list[str]:
+    """S14 (action): removes the day folders that ``expire_partitions`` leaves out; returns their days.
+
+    The driver lists day folders only; a folder that is no day stays.
+    """
+    oldest = (as_of - timedelta(days=days)).isoformat()
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.listStatus(top):
+        key, _, day = status.getPath().getName().partition("=")
+        if key == "ingest_date" and day < oldest and files.delete(status.getPath(), True):
+            gone.append(day)
+    return sorted(gone)

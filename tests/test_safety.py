@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from conftest import rows
 from jobloom.operators.gold import dim_skill, skill_demand_daily
 from jobloom.operators.quality import bronze_rules, check
 from jobloom.plans.build import materialize, recover
+from jobloom.sources.bronze import drop_expired, expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import unroll_pages
 from jobloom.sources.taxonomy import default_seed
@@ -36,6 +37,17 @@ def test_counters_cover_batches_that_recent_progress_forgets(spark, tmp_path):
     assert (seen["row_count"], seen["bad_messages"], seen["unreadable_times"]) == (10, 5, 5)
 
 
+def test_expired_days_are_dropped_and_no_others(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    value = json.dumps({"source": "b", "source_id": "1", "ingested_at": "2024-01-01T00:00:00Z", "source_payload": {}})
+    for day in (1, 20, 31):
+        parsed = parse_messages(spark.createDataFrame([(value,)], "value string"), "b")
+        write_bronze(parsed, root, datetime(2024, 1, day, tzinfo=UTC))
+    assert drop_expired(spark, root, date(2024, 1, 31), days=11) == ["2024-01-01"]
+    kept = read_bronze(spark, root)
+    assert rows(kept, "ingest_date") == rows(expire_partitions(kept, date(2024, 1, 31), 11), "ingest_date") == [("2024-01-20",), ("2024-01-31",)]
+
+
 def test_unreadable_times_fail_the_bronze_rule(spark):
     bronze = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("soon",), (None,)], "ingested_at string")
     assert rows(check(bronze, bronze_rules())) == [("ingested_at.readable", 2, False)]
