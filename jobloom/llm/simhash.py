@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import written
+from jobloom.llm.common import setting, written
 from jobloom.llm.components import components
 
 SEED = 42
@@ -194,10 +194,8 @@ def near_duplicates(
     ids stay separate rows.  An empty table gives an empty result; only the two named columns are read.
     """
     spark = docs.sparkSession
-    switch = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(switch, None)
-    spark.conf.set(switch, "true")  # a finished job's shuffle files go at once, not when the driver next collects garbage
-    try:
+    # A finished job's shuffle files go at once, not when the driver next collects garbage.
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "simhash-marks")
         least = F.struct(F.col("id").isNull().alias("no_id"), "id", "tie")
         distinct = written(marked.groupBy("fp").agg(F.min(least).alias("least")), "simhash-distinct")
@@ -209,11 +207,6 @@ def near_duplicates(
         )
         heads = placed.groupBy("component").agg(F.min("least").alias("head"))
         classes = written(placed.join(heads, "component").select("fp", "head"), "simhash-classes")
-    finally:
-        if before is None:
-            spark.conf.unset(switch)
-        else:
-            spark.conf.set(switch, before)
     stays = F.col("id").eqNullSafe(F.col("head.id")) & (F.col("tie") == F.col("head.tie"))
     return marked.join(classes, "fp", "left").select(
         F.col("id").alias("doc_id"), "tie", "fp", F.col("head.id").alias("component_id"), stays.alias("stays")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm import rans
-from jobloom.llm.common import written
+from jobloom.llm.common import setting, written
 from jobloom.llm.tokens import default_vocabulary, encoder
 from jobloom.session import shared_dir
 
@@ -132,9 +132,12 @@ def _write_bucket(folder: str, table: bytes):
         tokens = np.concatenate([np.frombuffer(zstandard.decompress(x), np.uint16) for x in each["tokens"]])
         order = np.lexsort((ties, ids))
         begin = (np.cumsum(counts) - counts)[order]
-        ids, counts = ids[order], counts[order]
-        place = np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(len(tokens))
-        tokens = tokens[place]
+        ids, counts, given = ids[order], counts[order], tokens
+        tokens, filled = np.empty_like(given), 0
+        for i, n in zip(begin.tolist(), counts.tolist(), strict=True):  # an index of all ids would take far more memory
+            tokens[filled : filled + n] = given[i : i + n]
+            filled += n
+        del given
         parts, blocks, at = [MAGIC], [], len(MAGIC)
         for lo in range(0, len(tokens), rans.BLOCK_TOKENS):
             block = rans.encode_block(tokens[lo : lo + rans.BLOCK_TOKENS], coder)
@@ -245,10 +248,9 @@ def write_ids(
         key = F.coalesce("id", F.lit(_NO_ID))
         bounds = given.agg(F.percentile_approx(key, cuts, 20 * n_buckets)).first()[0] or []
     folder = shared_dir(spark, "token-ids")
-    packed = written(
-        given.mapInArrow(_tokenise(vocabulary, list(bounds), end_id), "bucket long, ids binary, ties binary, counts binary, tokens binary"),
-        "token-parts",
-    )
+    tokens = given.mapInArrow(_tokenise(vocabulary, list(bounds), end_id), "bucket long, ids binary, ties binary, counts binary, tokens binary")
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"):
+        packed = written(tokens, "token-parts")
     counted = (
         packed.where(F.col("bucket") == _COUNTS)
         .select("tokens")
