@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +39,20 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def slices(batches: Iterator, text_of: Callable, most: int = 8 << 20) -> Iterator:
+    """Arrow batches cut to about ``most`` bytes of the text column, so that few Python strings exist at a time."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.binary_length(text_of(batch)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes.astype(np.int64)) // most
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(edges, edges[1:], strict=False):
+            if i < j:
+                yield batch.slice(i, j - i)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of runs of non-blank characters; null counts as zero."""
     text = F.col(text) if isinstance(text, str) else text

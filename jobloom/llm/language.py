@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from jobloom.llm.common import slices
+
 UNKNOWN = "und"
 _WORD = r"[^\W\d_]+"
 #: Words longer than this are scored by n-grams alone, so one endless word costs no more than its length.
@@ -130,7 +132,7 @@ def word_score(word: str, model: Model) -> tuple[float, ...]:
 class Scorer:
     """Predicts texts under a model; scores of words met before are kept, up to ``kept`` of them."""
 
-    def __init__(self, model: Model, kept: int = 200_000):
+    def __init__(self, model: Model, kept: int = 150_000):
         import re
 
         self.model, self.kept = model, kept
@@ -158,12 +160,14 @@ class Scorer:
 
 
 def _predictions(model: Model, place: int | None):
+    def texts(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column(1) if place is None else batch.column(0).field(place)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in slices(batches, texts):
             row = batch.column(0)
-            texts = batch.column(1) if place is None else row.field(place)
-            found = [scorer.predict(t) for t in texts.to_pylist()]
+            found = [scorer.predict(t) for t in texts(batch).to_pylist()]
             added = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([row, *added], names=["row", "lang_pred", "score"])
 

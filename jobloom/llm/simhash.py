@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import setting, written
+from jobloom.llm.common import setting, slices, written
 from jobloom.llm.components import components
 
 SEED = 42
@@ -49,7 +49,7 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
 
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, lambda b: b.column(2)):
             found = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], names=["id", "tie", "fp"])
 

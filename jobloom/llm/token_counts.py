@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.token_files import slices
+from jobloom.llm.common import slices
 from jobloom.llm.tokens import default_vocabulary, encoder
 
 RULES = ("most", "first", "split")
@@ -72,7 +72,7 @@ def _count(vocabulary: str, rule: str, given_sections: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         lengths = coder.byte_lengths()
-        for batch in slices(batches, 1):
+        for batch in slices(batches, lambda b: b.column(1)):
             out: list[list] = [[] for _ in range(7)]
             ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             sections = batch.column(2).to_pylist() if given_sections else [None] * len(ids_)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm import rans
-from jobloom.llm.common import setting, written
+from jobloom.llm.common import setting, slices, written
 from jobloom.llm.tokens import default_vocabulary, encoder
 from jobloom.session import shared_dir
 
@@ -62,19 +62,6 @@ def _put(path: str, parts: list[bytes]) -> None:
     files.move(draft, place)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ``most`` bytes of one text column, so that long texts do not gather in memory."""
-    import pyarrow.compute as pc
-
-    for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes.astype(np.int64)) // most
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for i, j in zip(edges, edges[1:], strict=False):
-            if i < j:
-                yield batch.slice(i, j - i)
-
-
 def _tokenise(vocabulary: str, bounds: list[int], end_id: int):
     """Batches of (doc_id, tie, text) to packed ids per bucket, and one row of id counts per task."""
     edges = np.array(bounds, np.int64)
@@ -86,7 +73,7 @@ def _tokenise(vocabulary: str, bounds: list[int], end_id: int):
         coder = encoder(vocabulary)
         total = np.zeros(1 << 16, np.int64)
         end = np.array([end_id], np.uint16)
-        for batch in slices(batches, 2):
+        for batch in slices(batches, lambda b: b.column(2)):
             ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
             ties = batch.column(1).to_numpy(zero_copy_only=False)
             tokens = [np.concatenate([t, end]) for t in coder.encode(batch.column(2).to_pylist())]

@@ -110,3 +110,15 @@ def test_given_sections(spark):
     got = {(r.doc_id, r.section, r.name): (r.start, r.stop, r.n_tokens) for r in token_counts.count_tokens(df, sections=spans).collect()}
     assert got == {(1, 0, "head"): (0, 7, 2.0), (1, 1, "over"): (7, 11, 1.0), (1, -1, None): (None, None, 1.0), (2, -1, None): (None, None, 0.0)}
     assert token_counts.count_tokens(empty(spark)).count() == 0
+
+
+def test_slices_keep_all_rows_in_order():
+    import pyarrow as pa
+
+    from jobloom.llm.common import slices
+
+    texts = ["x" * n if n else None for n in (0, 3, 9, 0, 1, 20, 0, 2, 2, 2, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"])
+    cut = list(slices(iter([batch, batch.slice(0, 0)]), lambda b: b.column(1), most=5))
+    assert [v for b in cut for v in b.column(1).to_pylist()] == texts
+    assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()) < 10 for b in cut) and len(cut) > 4
