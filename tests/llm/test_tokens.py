@@ -121,4 +121,5 @@ def test_slices_keep_all_rows_in_order():
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"])
     cut = list(slices(iter([batch, batch.slice(0, 0)]), lambda b: b.column(1), most=5))
     assert [v for b in cut for v in b.column(1).to_pylist()] == texts
-    assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()) < 10 for b in cut) and len(cut) > 4
+    sizes = [[len(t or "") for t in b.column(1).to_pylist()] for b in cut]
+    assert all(sum(x) - max(x) <= 5 for x in sizes) and len(cut) > 4
