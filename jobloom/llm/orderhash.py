@@ -2,7 +2,8 @@
 
 A text is read as words, words longer than twelve characters in pieces, and its k-mers are ``k`` words in a row.  Each
 k-mer is numbered by occurrence, and k-mer and number are hashed together.  The hash deals the numbered k-mers to
-cells; in a cell the ``tuple_size`` least ones are selected, put back into text order, and hashed as a tuple.  Two
+cells; in a cell the ``tuple_size`` least ones are selected, put back into text order, and hashed as a tuple.  A cell
+with fewer is filled up from the next cells, else short texts would have many tuples of one, which have no order.  Two
 texts agree in a cell when they share its least k-mers and their order, so the share of equal cells falls with edit
 distance and with moved passages, not only with what words occur.
 """
@@ -39,9 +40,12 @@ def _cell(packed: Column) -> Column:
     return F.shiftright(packed, 63 - _CELL_BITS)
 
 
-def with_signature(df: DataFrame, text_col: str, out_col: str, *, k: int = 2, tuple_size: int = 2) -> DataFrame:
+def with_signature(df: DataFrame, text_col: str, out_col: str, *, k: int = 2, tuple_size: int = 2, filled: bool = False) -> DataFrame:
     """Adds ``out_col``: an int, or null for an empty cell, per cell.
 
+    With ``filled``, a cell of fewer than ``tuple_size`` k-mers, but not an empty one, takes those that follow in hash
+    order, going round at the end, so that its tuple has an order too; only a text of fewer k-mers has shorter tuples.
+
     Only the text counts: equal texts have equal signatures.  A text of fewer than ``k`` words is one k-mer; one
     without a word has only empty cells; a null text has a null signature.  All steps are linear in the text but for
     two sorts of longs.
@@ -85,12 +89,15 @@ def with_signature(df: DataFrame, text_col: str, out_col: str, *, k: int = 2, tu
         F.when(n_least > 0, F.sequence(F.lit(0), n_least - 1)).otherwise(F.array().cast("array<int>")),
         lambda i: (i == 0) | (_cell(F.get("o_least", i)) != _cell(F.get("o_least", i - 1))),
     )
-    step = with_settled(step, {"o_heads": heads})
+    # What follows a cell's own k-mers are the least of the next cells, so the selected ones hold it.
+    circle = F.concat("o_least", F.slice("o_least", 1, tuple_size - 1)) if filled else F.col("o_least")
+    step = with_settled(step, {"o_heads": heads, "o_circle": circle})
 
     def entry(head: Column, j: Column) -> Column:
-        length = F.coalesce(F.get("o_heads", j + 1), n_least) - head
+        own = F.coalesce(F.get("o_heads", j + 1), n_least) - head
+        length = F.least(F.lit(tuple_size), n_least) if filled else own
         by_place = F.transform(
-            F.slice("o_least", head + 1, length), lambda x: F.shiftleft(_place(x), 33).bitwiseOR(_hash_part(x))
+            F.slice("o_circle", head + 1, length), lambda x: F.shiftleft(_place(x), 33).bitwiseOR(_hash_part(x))
         )
         ordered = F.transform(F.sort_array(by_place), lambda y: y.bitwiseAND(F.lit((1 << 33) - 1)))
         return F.struct(
@@ -167,10 +174,10 @@ def fingerprint_edits(
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    marked = with_signature(given, "text", "signature", k=k, tuple_size=tuple_size)
+    marked = with_signature(given, "text", "signature", k=k, tuple_size=tuple_size, filled=True)
     paired = with_next(marked, ["text", "signature"], parts=parts, narrow=given)
     paired = with_settled(paired, {"edited": edited(F.col("text"), F.col("next_text"))})
-    both = with_signature(paired, "edited", "edited_signature", k=k, tuple_size=tuple_size)
+    both = with_signature(paired, "edited", "edited_signature", k=k, tuple_size=tuple_size, filled=True)
     return both.select(
         "doc_id",
         "text",
