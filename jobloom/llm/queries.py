@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import chat, decontaminate, language, mixing, orderhash, simhash, suffix, token_counts, token_files, warc
+from jobloom.llm import (
+    chat,
+    decontaminate,
+    language,
+    manifest,
+    mixing,
+    orderhash,
+    simhash,
+    spelling,
+    suffix,
+    token_counts,
+    token_files,
+    warc,
+)
 from jobloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +209,85 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as rANS-coded token ids in files, and what the files hold."""
     files, frequencies = token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return token_files.read_ids(spark, files, frequencies)
+
+
+#: DuckDB: unsigned crc32 of the UTF-8 bytes of ``{s}``, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, CAST(strlen({s}) AS BIGINT) + 1), lambda i:
+    16 * (instr('0123456789ABCDEF', substr(hex({s}), 2 * i - 1, 1)) - 1) + instr('0123456789ABCDEF', substr(hex({s}), 2 * i, 1)) - 1)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the much more frequent word one letter away, if there is one."""
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE["op11_spelling_variants"] = r"""
+WITH runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT run, id || ':' || run AS s, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (SELECT run, k, {crc} AS h FROM counted),
+edited AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+cut AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM v)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM v)
+  UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM v)),
+best AS (
+  SELECT p.word, count(*) AS n_near, first(b.word ORDER BY b.n DESC, b.word) AS near, max(b.n) AS near_n
+  FROM pairs p JOIN v b ON b.word = p.near GROUP BY p.word),
+formed AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+chain AS (
+  WITH RECURSIVE up AS (
+    SELECT word, word AS root, form AS next FROM formed
+    UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.next)
+  SELECT word, root FROM up WHERE next IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+""".replace("{crc}", _CRC32.format(s="s"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every document; one id in seven claims a character more than it was stored with."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return manifest.merkle_manifest(table(spark, sf_dir, "documents"), tampered={"n_chars": claimed})
+
+
+ORACLE["op13_merkle_manifest"] = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, coalesce(CAST(doc_id AS VARCHAR), '') AS s,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+claimed AS (SELECT *, CASE WHEN doc_id IS NOT NULL AND {crc} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS n_claimed FROM fields),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+      sha256(head || coalesce(strlen(CAST(n_claimed AS VARCHAR)) || ':' || n_claimed, '-') || tail) AS given FROM claimed)),
+low AS (
+  SELECT lang, 0 AS lvl, idx, leaf AS digest, n FROM leaves
+  UNION ALL SELECT lang, lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (n + 1) // 2 FROM low WHERE n > 1 GROUP BY lang, lvl, idx // 2, n),
+subs AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lvl, idx, subroot AS digest, n FROM subs
+  UNION ALL SELECT lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (n + 1) // 2 FROM high WHERE n > 1 GROUP BY lvl, idx // 2, n),
+climbed AS (
+  SELECT doc_id, lang, leaf, idx AS place, 0 AS lvl, idx, n, given AS h, '' AS passed FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.leaf, c.place, c.lvl + 1, c.idx // 2, (c.n + 1) // 2,
+    sha256(CASE WHEN c.idx % 2 = 1 THEN s.digest || c.h ELSE c.h || coalesce(s.digest, '') END), c.passed || coalesce(s.digest, '')
+  FROM climbed c LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM c.lang AND s.lvl = c.lvl AND s.idx = xor(c.idx, 1) WHERE c.n > 1),
+ended AS (
+  SELECT c.doc_id, c.leaf, s.subroot, 0 AS lvl, s.idx, s.n, c.h, c.passed FROM climbed c JOIN subs s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1
+  UNION ALL
+  SELECT e.doc_id, e.leaf, e.subroot, e.lvl + 1, e.idx // 2, (e.n + 1) // 2,
+    sha256(CASE WHEN e.idx % 2 = 1 THEN s.digest || e.h ELSE e.h || coalesce(s.digest, '') END), e.passed || coalesce(s.digest, '')
+  FROM ended e LEFT JOIN high s ON s.lvl = e.lvl AND s.idx = xor(e.idx, 1) WHERE e.n > 1)
+SELECT e.doc_id, e.leaf, e.subroot, r.digest AS root, sha256(e.passed) AS proof_sha256, e.h AS folded_root, e.h = r.digest AS verified
+FROM ended e, (SELECT digest FROM high WHERE n = 1) r WHERE e.n = 1
+""".replace("{crc}", _CRC32.format(s="s"))
