@@ -2,9 +2,9 @@
 
 Every row is a leaf; the leaves of a group (``lang``) make a binary tree by id, the groups' roots make another one.
 Levels are built bottom up, ``STRIDE`` at a time: at most 64 nodes with one ancestor meet in a task.  What is stored is
-a row per node of every sixth level with a link to the ancestor six levels up and the siblings on the way there.  A
-recursive query of Spark then climbs from every leaf at once, appends the siblings and folds the leaf's digest into
-them, until a node has no parent.
+a row per node of every sixth level with a link to the ancestor six levels up and the siblings on the way there; a leaf's
+own row is the lowest.  A recursive query of Spark then climbs from every leaf at once, appends the siblings and folds
+the leaf's digest into them, until a node has no parent.
 
 Near the root all leaves climb through the same nodes, so a node is stored once per 4,096 leaves below it and the leaves
 share its copies out among them; no join key is hot.  Places in a group come from sampled ranges and their counts, so a
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +26,9 @@ from jobloom.llm.common import setting, written
 #: Levels between stored nodes, and leaves that share a copy of a node.
 STRIDE, SHARE = 6, 4096
 _TOP = -1  # the tree over the groups' roots
-_NODE = "tree long, stage int, idx long, leaves long, digest string, steps array<struct<left: string, right: string>>, passed binary, top string, up_tree long, up_stage int, up_idx long, up_leaves long"
+#: ``passed`` holds the siblings' digests bottom up, ``turns`` a sign per level: l and r for a left or right sibling.
+_LINK = "passed binary, turns string, top binary, up_tree long, up_stage int, up_idx long, up_leaves long"
+_NODE = f"tree long, stage int, idx long, leaves long, digest binary, {_LINK}"
 
 
 def field_text(value: Column) -> Column:
@@ -35,8 +38,8 @@ def field_text(value: Column) -> Column:
 
 
 def leaf_digest(*fields: Column) -> Column:
-    """Lower-case hex SHA-256 of the fields' texts in a row."""
-    return F.sha2(F.concat(*map(field_text, fields)).cast("binary"), 256)
+    """SHA-256 of the fields' texts in a row."""
+    return F.unhex(F.sha2(F.concat(*map(field_text, fields)).cast("binary"), 256))
 
 
 def placed(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -70,129 +73,137 @@ def levels(size: int) -> int:
     return max(0, (size - 1).bit_length())
 
 
-def climb_group(members: list[tuple[int, str]], rise: int) -> tuple[str, list[list[tuple[str, str]]]]:
-    """Digest of the ancestor ``rise`` levels up, and per member the siblings met on the way as (left, right)."""
-    steps = [[] for _ in members]
+def climb_group(members: list[tuple[int, bytes]], rise: int) -> tuple[bytes, list[tuple[bytes, str]]]:
+    """Digest of the ancestor ``rise`` levels up, and per member (place, digest) its ``passed`` and ``turns``."""
+    passed, turns = [b""] * len(members), [""] * len(members)
     now = [(place, digest, [i]) for i, (place, digest) in enumerate(members)]
     for _ in range(rise):
-        above = []
+        runs = {}
         for node in now:
-            if node[0] % 2 and above and above[-1][0] == node[0] // 2:
-                place, left, below = above.pop()
+            runs.setdefault(node[0] // 2, []).append(node)
+        now = []
+        for place, run in runs.items():
+            for j, (_, _, below) in enumerate(run):
                 for i in below:
-                    steps[i][-1] = ("", node[1])
-                for i in node[2]:
-                    steps[i].append((left, ""))
-                above.append((place, (left, node[1]), below + node[2]))
-            else:
-                for i in node[2]:
-                    steps[i].append(("", ""))
-                above.append((node[0] // 2, node[1], node[2]))
-        joined = lambda d: "".join(d) if isinstance(d, tuple) else d
-        now = [(place, hashlib.sha256(joined(d).encode()).hexdigest(), below) for place, d, below in above]
-    return now[0][1], steps
-
-
-def _built(top: bool):
+                    passed[i] += b"".join(d for k, (_, d, _) in enumerate(run) if k != j)
+                    turns[i] += "-" if len(run) == 1 else "l" if j else "r"
+            digest = hashlib.sha256("".join(d.hex() for _, d, _ in run).encode()).digest()
+            now.append((place, digest, [i for _, _, below in run for i in below]))
+    return now[0][1], list(zip(passed, turns, strict=True))
+
+
+def _built(top: bool, columns: Sequence[str]):
     """Groups of up to 64 nodes to their rows, each linked to the common ancestor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out = {c: [] for c in columns}
             for group in batch.to_pylist():
                 members = sorted(group["members"], key=lambda m: m["idx"])
-                rise = min(STRIDE, levels(group["size"]) - STRIDE * group["stage"])
-                digest, steps = climb_group([(m["idx"], m["digest"]) for m in members], rise)
-                ends = levels(group["size"]) <= STRIDE * (group["stage"] + 1)
-                leaves = sum(m["leaves"] for m in members)
-                link = (group["tree"], group["stage"] + 1, group["up"]) if not ends else (None, None, None) if top else (_TOP, 0, group["tree"])
-                for m, own in zip(members, steps, strict=True):
-                    out.append(
-                        {
-                            "tree": group["tree"], "stage": group["stage"], "idx": m["idx"], "leaves": m["leaves"],
-                            "digest": m["digest"], "steps": [{"left": a, "right": b} for a, b in own],
-                            "passed": bytes.fromhex("".join(a + b for a, b in own)), "top": digest if ends else None,
-                            "up_tree": link[0], "up_stage": link[1], "up_idx": link[2], "up_leaves": leaves,
-                            "size": group["size"], "up_digest": digest,
-                        }
-                    )
-            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+                above = levels(group["size"]) - STRIDE * group["stage"]
+                digest, ways = climb_group([(m["idx"], m["digest"]) for m in members], min(STRIDE, above))
+                up = (group["tree"], group["stage"] + 1, group["up"])
+                if above <= STRIDE:
+                    up = (None, None, None) if top else (_TOP, 0, group["tree"])
+                common = {
+                    **{c: group[c] for c in ("tree", "stage", "size")},
+                    **dict(zip(("up_tree", "up_stage", "up_idx"), up, strict=True)),
+                    "top": digest if above <= STRIDE else None,
+                    "up_digest": digest,
+                    "up_leaves": sum(m["leaves"] for m in members),
+                }
+                for m, (passed, turns) in zip(members, ways, strict=True):
+                    row = {**common, **m, "passed": passed, "turns": turns}
+                    for c in columns:
+                        out[c].append(row[c])
+            # Spark's Arrow reader takes plain lists of these types as they are; all-null columns need one.
+            yield pa.RecordBatch.from_arrays([pa.array(out[c], _ARROW.get(c)) for c in columns], names=list(columns))
 
     return run
 
 
-_ARROW = pa.schema(
-    [
-        ("tree", pa.int64()), ("stage", pa.int32()), ("idx", pa.int64()), ("leaves", pa.int64()), ("digest", pa.string()),
-        ("steps", pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))), ("passed", pa.binary()), ("top", pa.string()),
-        ("up_tree", pa.int64()), ("up_stage", pa.int32()), ("up_idx", pa.int64()), ("up_leaves", pa.int64()),
-        ("size", pa.int64()), ("up_digest", pa.string()),
-    ]
-)
+_ARROW = {"stage": pa.int32(), "turns": pa.string(), **dict.fromkeys(("digest", "passed", "top", "up_digest", "given"), pa.binary()),
+          **dict.fromkeys(("tree", "idx", "leaves", "up_tree", "up_idx", "up_leaves", "size", "id"), pa.int64()), "up_stage": pa.int32()}
 
 
-def build_levels(leaves: DataFrame, top: bool = False) -> DataFrame:
+def build_levels(leaves: DataFrame, top: bool = False, carry: str = "") -> tuple[DataFrame, DataFrame | None]:
     """Parent-linked node rows of trees given by their leaves (``tree``, ``idx``, ``size``, ``digest``, ``leaves``).
 
-    ``steps`` are the siblings on the way to the parent, ``passed`` the same as bytes in a row; ``top`` is the root's
-    digest in rows whose parent is the root.  The root of a group's tree is leaf ``tree`` of the top tree.
+    The leaves' rows come first, with the columns ``carry`` (name and type) besides; the rows of higher levels second,
+    none if no tree has more than 64 leaves.  ``top`` is the root's digest in rows whose parent is the root.  The root
+    of a group's tree is leaf ``tree`` of the top tree.
     """
-    below, stage, built = leaves.withColumn("stage", F.lit(0)), 0, None
+    more = [part.split()[0] for part in carry.split(", ")] if carry else []
+    below, stage, low, high = leaves.withColumn("stage", F.lit(0)), 0, None, None
     while True:
         group = ["tree", "stage", "size", F.expr(f"idx div {1 << STRIDE}").alias("up")]
-        met = below.groupBy(*group).agg(F.collect_list(F.struct("idx", "digest", "leaves")).alias("members"))
-        nodes = written(met.mapInArrow(_built(top), f"{_NODE}, size long, up_digest string"), "manifest-nodes")
-        built = nodes if built is None else built.union(nodes)
-        stage += 1
-        higher = nodes.where("top is null")
-        if not higher.head(1):
-            return built
-        below = higher.groupBy("tree", F.col("up_stage").alias("stage"), "size", F.col("up_idx").alias("idx")).agg(
+        met = below.groupBy(*group).agg(F.collect_list(F.struct("idx", "digest", "leaves", *more)).alias("members"))
+        schema = f"{_NODE}, size long, up_digest binary" + (f", {carry}" if more else "")
+        columns = [part.split()[0] for part in schema.split(", ")]
+        nodes = written(met.mapInArrow(_built(top, columns), schema), "manifest-nodes")
+        if low is None:
+            low = nodes
+        else:
+            high = nodes if high is None else high.union(nodes)
+        rest = nodes.where("top is null")
+        if not rest.head(1):
+            return low, high
+        below = rest.groupBy("tree", F.col("up_stage").alias("stage"), "size", F.col("up_idx").alias("idx")).agg(
             F.first("up_digest").alias("digest"), F.first("up_leaves").alias("leaves")
         )
+        carry, more, stage = "", [], stage + 1
 
 
-def build_manifest(leaves: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
-    """All node rows of a dataset, the trees of the groups and the tree over their roots; and the groups' numbers.
+def build_manifest(leaves: DataFrame, group: str, carry: str) -> tuple[DataFrame, DataFrame]:
+    """Node rows of a dataset: those of its leaves with the columns ``carry``, and those above them.
 
-    ``leaves`` are rows with ``group``, ``idx``, ``size`` and ``digest``.  The number of a group (``_group``) among all,
-    null first, then by bytes, is its ``tree``.
+    ``leaves`` are rows with ``group``, ``idx``, ``size``, ``digest`` and the carried columns.  A group's ``tree`` is
+    its number among all, null first, then by bytes.
     """
-    groups = leaves.groupBy(group).agg(F.count("*").alias("rows_of"))
-    numbered = placed(groups.withColumn("_one", F.lit(0)), ["_one"], [group])
-    numbered = written(numbered.select(F.col(group).alias("_group"), F.col("idx").alias("tree"), F.col("size").alias("groups")), "manifest-groups")
-    ranked = leaves.join(numbered, F.col(group).eqNullSafe(F.col("_group")))
-    nodes = build_levels(ranked.select("tree", "idx", "size", "digest", F.lit(1).cast("long").alias("leaves")))
-    roots = nodes.where("up_tree = -1").groupBy("tree").agg(F.first("top").alias("digest"), F.first("up_leaves").alias("leaves"))
+    groups = leaves.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_rows")).withColumn("_one", F.lit(0))
+    numbered = placed(groups, ["_one"], ["_group"])
+    numbered = written(numbered.select("_group", F.col("idx").alias("tree"), F.col("size").alias("groups")), "manifest-groups")
+    ranked = leaves.join(numbered, F.col(group).eqNullSafe(F.col("_group"))).withColumn("leaves", F.lit(1).cast("long"))
+    names = [part.split()[0] for part in _NODE.split(", ")]
+    low, high = build_levels(ranked, carry=carry)
+    ends = low if high is None else low.select(*high.columns).union(high)
+    roots = ends.where("up_tree = -1").groupBy("tree").agg(F.first("top").alias("digest"), F.first("up_leaves").alias("leaves"))
     upper = roots.join(numbered, "tree").select(
         F.lit(_TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), F.col("groups").alias("size"), "digest", "leaves"
     )
-    names = [part.split()[0] for part in _NODE.replace("struct<left: string, right: string>", "struct").split(", ")]
-    return nodes.union(build_levels(upper, top=True)).select(*names), numbered
+    above = [n.select(*names) for n in (high, *build_levels(upper, top=True)) if n is not None]
+    return low, reduce(DataFrame.union, above)
+
 
+_STEP = """aggregate(regexp_extract_all({turns}, '(.)'), named_struct('h', {folded}, 'rest', lower(hex({passed}))),
+  (a, t) -> named_struct(
+    'h', sha2(CASE t WHEN 'l' THEN concat(left(a.rest, 64), a.h) WHEN 'r' THEN concat(a.h, left(a.rest, 64)) ELSE a.h END, 256),
+    'rest', IF(t = '-', a.rest, substring(a.rest, 65))), a -> a.h)"""
 
-_CLIMB = """
-WITH RECURSIVE climb (row, spread, tree, stage, idx, copy, folded, passed, subroot, root) AS (
-  SELECT row, spread, tree, 0, idx, CAST(0 AS BIGINT), given, to_binary('', 'hex'), CAST(NULL AS STRING), CAST(NULL AS STRING) FROM {leaves}
+_CLIMB = f"""
+WITH RECURSIVE climb (id, leaf, spread, tree, stage, idx, copy, folded, passed, subroot, root) AS (
+  SELECT id, digest, spread, up_tree, up_stage, up_idx, pmod(spread, up_copies),
+    {_STEP.format(turns="turns", folded="lower(hex(given))", passed="passed")}, passed, CAST(NULL AS BINARY), CAST(NULL AS BINARY)
+  FROM {{leaves}}
   UNION ALL
-  SELECT c.row, c.spread, n.up_tree, n.up_stage, n.up_idx, pmod(c.spread, n.up_copies),
-    aggregate(n.steps, c.folded, (h, s) -> sha2(concat(s.left, h, s.right), 256)),
-    concat(c.passed, n.passed), coalesce(c.subroot, IF(n.tree = -1, n.digest, NULL)), IF(n.tree = -1, n.top, NULL)
-  FROM climb c JOIN {nodes} n ON n.tree = c.tree AND n.stage = c.stage AND n.idx = c.idx AND n.copy = c.copy)
-SELECT row, folded, passed, subroot, root FROM climb WHERE tree IS NULL
+  SELECT c.id, c.leaf, c.spread, n.up_tree, n.up_stage, n.up_idx, pmod(c.spread, n.up_copies),
+    {_STEP.format(turns="n.turns", folded="c.folded", passed="n.passed")}, concat(c.passed, n.passed),
+    coalesce(c.subroot, IF(n.tree = {_TOP}, n.digest, NULL)), IF(n.tree = {_TOP}, n.top, NULL)
+  FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.stage = c.stage AND n.idx = c.idx AND n.copy = c.copy)
+SELECT id, leaf, folded, passed, subroot, root FROM climb WHERE tree IS NULL
 """
 
 
 def prove(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(``row``, ``folded``, ``passed``, ``subroot``, ``root``) per leaf (``row``, ``tree``, ``idx``, ``given``).
+    """(``id``, ``leaf``, ``folded``, ``passed``, ``subroot``, ``root``) per leaf row.
 
-    ``folded`` is the root recomputed from ``given`` and the stored siblings, ``passed`` the siblings' bytes bottom up,
+    ``folded`` is the root recomputed from ``given`` and the stored siblings, ``passed`` the siblings' digests bottom up,
     ``subroot`` and ``root`` what is stored.
     """
     spark = leaves.sparkSession
     copies = lambda n: F.expr(f"({n} + {SHARE - 1}) div {SHARE}")
     dealt = nodes.withColumns({"copy": F.explode(F.sequence(F.lit(0).cast("long"), copies("leaves") - 1)), "up_copies": copies("up_leaves")})
-    spread = leaves.withColumn("spread", F.xxhash64("row"))
+    spread = leaves.withColumns({"spread": F.xxhash64("tree", "idx"), "up_copies": copies("up_leaves")})
     with setting(spark, "spark.sql.cteRecursionRowLimit", "-1"):
         return written(spark.sql(_CLIMB, leaves=spread, nodes=dealt), "manifest-proofs")
 
@@ -213,23 +224,27 @@ def merkle_manifest(
     A lone leaf is its group's root, a lone group's root the root, with the digest of nothing as proof.  An empty table
     gives an empty result; further columns are left unread.
     """
-    changed = {**{c: F.col(f"`{c}`") for c in fields}, **(tampered or {})}
+    own = {c: F.col(f"`{c}`") for c in fields}
+    claims = {**own, **(tampered or {})}
+    same = reduce(Column.__and__, (claims[c].eqNullSafe(own[c]) for c in fields))
     given = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{group_col}`").alias("grp"),
-        leaf_digest(*(F.col(f"`{c}`") for c in fields)).alias("digest"),
-        leaf_digest(*(changed[c] for c in fields)).alias("given"),
+        leaf_digest(*own.values()).alias("digest"),
+        F.when(~same, leaf_digest(*(claims[c] for c in fields))).alias("given"),
     )
-    spots = written(placed(given, ["grp"], ["id", "digest"]).withColumn("row", F.monotonically_increasing_id()), "manifest-leaves")
-    nodes, numbered = build_manifest(spots.select("grp", "idx", "size", "digest"), "grp")
-    climbing = spots.join(numbered, F.col("grp").eqNullSafe(F.col("_group"))).select("row", "tree", "idx", "given")
-    proofs = prove(climbing, nodes)
-    return spots.select("row", "id", "digest").join(proofs, "row").select(
+    # A finished job's shuffle files go at once, not when the driver next collects garbage.
+    with setting(docs.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        spots = written(placed(given, ["grp"], ["id", "digest"]), "manifest-leaves")
+        low, above = build_manifest(spots, "grp", "id long, given binary")
+        proofs = prove(low.withColumn("given", F.coalesce("given", "digest")), above)
+    text = lambda c: F.lower(F.hex(c))
+    return proofs.select(
         F.col("id").alias("doc_id"),
-        F.col("digest").alias("leaf"),
-        "subroot",
-        "root",
-        F.sha2(F.lower(F.hex("passed")).cast("binary"), 256).alias("proof_sha256"),
+        text("leaf").alias("leaf"),
+        text("subroot").alias("subroot"),
+        text("root").alias("root"),
+        F.sha2(text("passed").cast("binary"), 256).alias("proof_sha256"),
         F.col("folded").alias("folded_root"),
-        (F.col("folded") == F.col("root")).alias("verified"),
+        (F.col("folded") == text("root")).alias("verified"),
     )
