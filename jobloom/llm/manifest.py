@@ -1,10 +1,11 @@
 """Merkle manifest of a dataset, and proofs climbed by a recursive query.
 
 Every row is a leaf; the leaves of a group (``lang``) make a binary tree by id, the groups' roots make another one.
-Levels are built bottom up, ``STRIDE`` at a time: at most 64 nodes with one ancestor meet in a task.  What is stored is
-a row per node of every sixth level with a link to the ancestor six levels up and the siblings on the way there; a leaf's
-own row is the lowest.  A recursive query of Spark then climbs from every leaf at once, appends the siblings and folds
-the leaf's digest into them, until a node has no parent.
+Levels are built bottom up, six and then always twelve at a time: at most 64 leaves or 4,096 nodes with one ancestor
+meet.  What is stored is a row per node of the levels 0, 6, 18, 30, ... with a link to the ancestor on the next of them
+and the siblings on the way there; a leaf's own row is the lowest.  A recursive query of Spark then climbs from every
+leaf at once, appends the siblings and folds the leaf's digest into them, until a node has no parent.  Few long rows
+make few rounds, and each round shuffles all proofs.
 
 Near the root all leaves climb through the same nodes, so a node is stored once per 4,096 leaves below it and the leaves
 share its copies out among them; no join key is hot.  Places in a group come from sampled ranges and their counts, so a
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from jobloom.llm.common import setting, written
 
-#: Levels between stored nodes, and leaves that share a copy of a node.
-STRIDE, SHARE = 6, 4096
+#: Leaves that share a copy of a node.
+SHARE = 4096
 _TOP = -1  # the tree over the groups' roots
 #: ``passed`` holds the siblings' digests bottom up, ``turns`` a sign per level: l and r for a left or right sibling.
 _LINK = "passed binary, turns string, top binary, up_tree long, up_stage int, up_idx long, up_leaves long"
@@ -73,6 +74,11 @@ def levels(size: int) -> int:
     return max(0, (size - 1).bit_length())
 
 
+def stored_level(stage: int) -> int:
+    """The level of the stored nodes number ``stage``, from below."""
+    return max(0, 12 * stage - 6)
+
+
 def climb_group(members: list[tuple[int, bytes]], rise: int) -> tuple[bytes, list[tuple[bytes, str]]]:
     """Digest of the ancestor ``rise`` levels up, and per member (place, digest) its ``passed`` and ``turns``."""
     passed, turns = [b""] * len(members), [""] * len(members)
@@ -96,19 +102,20 @@ def _built(top: bool, columns: Sequence[str]):
     """Groups of up to 64 nodes to their rows, each linked to the common ancestor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
             out = {c: [] for c in columns}
             for group in batch.to_pylist():
                 members = sorted(group["members"], key=lambda m: m["idx"])
-                above = levels(group["size"]) - STRIDE * group["stage"]
-                digest, ways = climb_group([(m["idx"], m["digest"]) for m in members], min(STRIDE, above))
+                here, following = stored_level(group["stage"]), stored_level(group["stage"] + 1)
+                height = levels(group["size"])
+                digest, ways = climb_group([(m["idx"], m["digest"]) for m in members], min(following, height) - here)
                 up = (group["tree"], group["stage"] + 1, group["up"])
-                if above <= STRIDE:
+                if height <= following:
                     up = (None, None, None) if top else (_TOP, 0, group["tree"])
                 common = {
                     **{c: group[c] for c in ("tree", "stage", "size")},
                     **dict(zip(("up_tree", "up_stage", "up_idx"), up, strict=True)),
-                    "top": digest if above <= STRIDE else None,
+                    "top": digest if height <= following else None,
                     "up_digest": digest,
                     "up_leaves": sum(m["leaves"] for m in members),
                 }
@@ -136,7 +143,7 @@ def build_levels(leaves: DataFrame, top: bool = False, carry: str = "") -> tuple
     more = [part.split()[0] for part in carry.split(", ")] if carry else []
     below, stage, low, high = leaves.withColumn("stage", F.lit(0)), 0, None, None
     while True:
-        group = ["tree", "stage", "size", F.expr(f"idx div {1 << STRIDE}").alias("up")]
+        group = ["tree", "stage", "size", F.shiftright("idx", stored_level(stage + 1) - stored_level(stage)).alias("up")]
         met = below.groupBy(*group).agg(F.collect_list(F.struct("idx", "digest", "leaves", *more)).alias("members"))
         schema = f"{_NODE}, size long, up_digest binary" + (f", {carry}" if more else "")
         columns = [part.split()[0] for part in schema.split(", ")]
@@ -175,30 +182,30 @@ def build_manifest(leaves: DataFrame, group: str, carry: str) -> tuple[DataFrame
     return low, reduce(DataFrame.union, above)
 
 
-_STEP = """aggregate(regexp_extract_all({turns}, '(.)'), named_struct('h', {folded}, 'rest', lower(hex({passed}))),
+_STEP = """aggregate(regexp_extract_all({turns}, '(.)'), named_struct('h', lower(hex({folded})), 'rest', lower(hex({passed}))),
   (a, t) -> named_struct(
     'h', sha2(CASE t WHEN 'l' THEN concat(left(a.rest, 64), a.h) WHEN 'r' THEN concat(a.h, left(a.rest, 64)) ELSE a.h END, 256),
-    'rest', IF(t = '-', a.rest, substring(a.rest, 65))), a -> a.h)"""
+    'rest', IF(t = '-', a.rest, substring(a.rest, 65))), a -> unhex(a.h))"""
 
 _CLIMB = f"""
 WITH RECURSIVE climb (id, leaf, spread, tree, stage, idx, copy, folded, passed, subroot, root) AS (
   SELECT id, digest, spread, up_tree, up_stage, up_idx, pmod(spread, up_copies),
-    {_STEP.format(turns="turns", folded="lower(hex(given))", passed="passed")}, passed, CAST(NULL AS BINARY), CAST(NULL AS BINARY)
+    {_STEP.format(turns="turns", folded="given", passed="passed")}, passed, CAST(NULL AS BINARY), CAST(NULL AS BINARY)
   FROM {{leaves}}
   UNION ALL
   SELECT c.id, c.leaf, c.spread, n.up_tree, n.up_stage, n.up_idx, pmod(c.spread, n.up_copies),
     {_STEP.format(turns="n.turns", folded="c.folded", passed="n.passed")}, concat(c.passed, n.passed),
     coalesce(c.subroot, IF(n.tree = {_TOP}, n.digest, NULL)), IF(n.tree = {_TOP}, n.top, NULL)
   FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.stage = c.stage AND n.idx = c.idx AND n.copy = c.copy)
-SELECT id, leaf, folded, passed, subroot, root FROM climb WHERE tree IS NULL
+SELECT id, leaf, folded, unhex(sha2(lower(hex(passed)), 256)) AS proof, subroot, root FROM climb WHERE tree IS NULL
 """
 
 
 def prove(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(``id``, ``leaf``, ``folded``, ``passed``, ``subroot``, ``root``) per leaf row.
+    """(``id``, ``leaf``, ``folded``, ``proof``, ``subroot``, ``root``) per leaf row.
 
-    ``folded`` is the root recomputed from ``given`` and the stored siblings, ``passed`` the siblings' digests bottom up,
-    ``subroot`` and ``root`` what is stored.
+    ``folded`` is the root recomputed from ``given`` and the stored siblings, ``proof`` the digest of the siblings bottom
+    up, ``subroot`` and ``root`` what is stored.
     """
     spark = leaves.sparkSession
     copies = lambda n: F.expr(f"({n} + {SHARE - 1}) div {SHARE}")
@@ -244,7 +251,7 @@ def merkle_manifest(
         text("leaf").alias("leaf"),
         text("subroot").alias("subroot"),
         text("root").alias("root"),
-        F.sha2(text("passed").cast("binary"), 256).alias("proof_sha256"),
-        F.col("folded").alias("folded_root"),
-        (F.col("folded") == text("root")).alias("verified"),
+        text("proof").alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
     )
