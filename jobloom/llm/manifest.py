@@ -171,15 +171,32 @@ def build_manifest(leaves: DataFrame, group: str, carry: str) -> tuple[DataFrame
     numbered = placed(groups, ["_one"], ["_group"])
     numbered = written(numbered.select("_group", F.col("idx").alias("tree"), F.col("size").alias("groups")), "manifest-groups")
     ranked = leaves.join(numbered, F.col(group).eqNullSafe(F.col("_group"))).withColumn("leaves", F.lit(1).cast("long"))
-    names = [part.split()[0] for part in _NODE.split(", ")]
+    names = [*(part.split()[0] for part in _NODE.split(", ")), "subroot", "root"]
     low, high = build_levels(ranked, carry=carry)
     ends = low if high is None else low.select(*high.columns).union(high)
     roots = ends.where("up_tree = -1").groupBy("tree").agg(F.first("top").alias("digest"), F.first("up_leaves").alias("leaves"))
     upper = roots.join(numbered, "tree").select(
         F.lit(_TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), F.col("groups").alias("size"), "digest", "leaves"
     )
-    above = [n.select(*names) for n in (high, *build_levels(upper, top=True)) if n is not None]
-    return low, reduce(DataFrame.union, above)
+    first, higher = build_levels(upper, top=True)
+    nodes = [_through_top(high, first).select(*names)] if high is not None else []
+    nodes.append((first.where("false") if higher is None else higher).withColumns({"subroot": F.lit(None).cast("binary"), "root": F.col("top")}).select(*names))
+    return _through_top(low, first), reduce(DataFrame.union, nodes)
+
+
+def _through_top(nodes: DataFrame, first: DataFrame) -> DataFrame:
+    """Links that end in a group's root go on through the top tree's lowest stored step, which saves a round."""
+    link = [c.split()[0] for c in _LINK.split(", ")]
+    inner = nodes.where("top is null").withColumns({"subroot": F.lit(None).cast("binary"), "root": F.lit(None).cast("binary")})
+    above = first.select(F.col("idx").alias("_tree"), *(F.col(c).alias(f"_{c}") for c in link))
+    met = nodes.where("top is not null").join(above, F.col("tree") == F.col("_tree"))
+    ended = met.withColumns({"subroot": F.col("top"), "root": F.col("_top")}).withColumns(
+        {
+            **{c: F.concat(c, f"_{c}") for c in ("passed", "turns")},
+            **{c: F.col(f"_{c}") for c in link if c.startswith("up_")},
+        }
+    )
+    return inner.unionByName(ended.select(*inner.columns))
 
 
 _STEP = """aggregate(regexp_extract_all({turns}, '(.)'), named_struct('h', lower(hex({folded})), 'rest', lower(hex({passed}))),
@@ -190,13 +207,13 @@ _STEP = """aggregate(regexp_extract_all({turns}, '(.)'), named_struct('h', lower
 _CLIMB = f"""
 WITH RECURSIVE climb (id, leaf, spread, tree, stage, idx, copy, folded, passed, subroot, root) AS (
   SELECT id, digest, spread, up_tree, up_stage, up_idx, pmod(spread, up_copies),
-    {_STEP.format(turns="turns", folded="given", passed="passed")}, passed, CAST(NULL AS BINARY), CAST(NULL AS BINARY)
+    {_STEP.format(turns="turns", folded="given", passed="passed")}, passed, subroot, root
   FROM {{leaves}}
   UNION ALL
   SELECT c.id, c.leaf, c.spread, n.up_tree, n.up_stage, n.up_idx, pmod(c.spread, n.up_copies),
     {_STEP.format(turns="n.turns", folded="c.folded", passed="n.passed")}, concat(c.passed, n.passed),
-    coalesce(c.subroot, IF(n.tree = {_TOP}, n.digest, NULL)), IF(n.tree = {_TOP}, n.top, NULL)
-  FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.stage = c.stage AND n.idx = c.idx AND n.copy = c.copy)
+    coalesce(c.subroot, n.subroot), n.root
+  FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.stage = c.stage AND n.idx = c.idx AND n.copy = c.copy WHERE c.tree IS NOT NULL)
 SELECT id, leaf, folded, unhex(sha2(lower(hex(passed)), 256)) AS proof, subroot, root FROM climb WHERE tree IS NULL
 """
 
