@@ -14,6 +14,7 @@ from jobloom.llm import (
     manifest,
     mixing,
     orderhash,
+    scoring,
     simhash,
     spelling,
     suffix,
@@ -291,3 +292,11 @@ ended AS (
 SELECT e.doc_id, e.leaf, e.subroot, r.digest AS root, sha256(e.passed) AS proof_sha256, e.h AS folded_root, e.h = r.digest AS verified
 FROM ended e, (SELECT digest FROM high WHERE n = 1) r WHERE e.n = 1
 """.replace("{crc}", _CRC32.format(s="s"))
+
+
+@query
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document; one id in seven is held out, and null ids teach nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return scoring.score_documents(docs, remainder == 2, remainder != 2)
