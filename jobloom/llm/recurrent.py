@@ -211,7 +211,7 @@ def windows(dealt: tuple, symbols: int, steps: int):
         yield lo, n, *(np.ascontiguousarray(part[cut].T) for part in (before, target, begin)), live
 
 
-def train(net: dict, texts: list[np.ndarray], sums: dict, *, rate: float = 0.1, width: int = 256, steps: int = 16, piece: int = 1024) -> None:
+def train(net: dict, texts: list[np.ndarray], sums: dict, *, rate: float = 0.2, width: int = 512, steps: int = 16, piece: int = 1024) -> None:
     """One pass over all of ``texts``; changes ``net`` and the squared-gradient sums ``sums`` (Adagrad).
 
     Long texts are cut to pieces that begin anew, so that lanes end together.

@@ -144,6 +144,9 @@ def _encoded(v: Vocabulary):
 _ENCODED = "row long, doc_id long, held_out boolean, teaches boolean, n_tokens long, n_known long, smoothed double, rare double, n_rare long, symbols binary, tail array<binary>, times array<long>"
 
 
+_SUMS = "block int, part long, sums binary"
+
+
 def _trained(flat: np.ndarray, like: dict, rate: float, part_tokens: int):
     """A part's texts to blocks of evidence and evidence-weighted changes."""
 
@@ -185,7 +188,7 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"block": first["block"], "part": pa.array([first["part"][0].as_py() // 64], pa.int64()), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def train(encoded: DataFrame, v: Vocabulary, *, rounds: int = 4, part_tokens: int = 1 << 20, rate: float = 0.1, seed: int = 0) -> dict[str, np.ndarray]:
+def train(encoded: DataFrame, v: Vocabulary, *, rounds: int = 4, part_tokens: int = 1 << 20, rate: float = 0.2, seed: int = 0) -> dict[str, np.ndarray]:
     """The net after one pass over all training texts of ``encoded``; its size does not depend on them."""
     net = recurrent.new_net(v.shape, v.symbol_counts(), seed)
     flat = recurrent.packed(net)
@@ -194,12 +197,10 @@ def train(encoded: DataFrame, v: Vocabulary, *, rounds: int = 4, part_tokens: in
     for r in range(rounds):
         mine = encoded.where(F.col("teaches") & (F.pmod(F.xxhash64("row"), F.lit(rounds)) == r))
         dealt = mine.select("symbols", F.xxhash64("row", F.lit(1)).alias("deal")).repartition(parts, "deal").sortWithinPartitions("deal")
-        sums = written(dealt.select("symbols").mapInArrow(_trained(flat, net, rate, part_tokens), "block int, part long, sums binary"), "scoring-sums")
-        n = parts
-        while n > 1:
-            grouped = sums.groupBy("block", F.expr("part div 64").alias("_of"))
-            sums = written(grouped.applyInArrow(_added, "block int, part long, sums binary"), "scoring-sums")
-            n = -(-n // 64)
+        sums, groups = dealt.select("symbols").mapInArrow(_trained(flat, net, rate, part_tokens), _SUMS), None
+        while groups != 1:
+            sums = written(sums.groupBy("block", F.expr("part div 64").alias("_of")).applyInArrow(_added, _SUMS), "scoring-sums")
+            groups = 1 + (sums.agg(F.max("part")).first()[0] or 0)
         for row in sums.collect():  # as many bytes as two nets
             evidence, change = np.split(np.frombuffer(row["sums"], np.float32), 2)
             at = row["block"] * _BLOCK
