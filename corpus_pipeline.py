@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobloom.llm import decontaminate, language, mixing, near_copies, token_files
+from jobloom.llm import decontaminate, language, mixing, simhash, token_files
 from jobloom.llm.common import table, written
 from jobloom.llm.queries import language_model
 
@@ -29,8 +29,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by 0.8 or more of shared five-word shingles the document with the smallest id stays."""
-    found = near_copies.near_copies(docs.select("doc_id", "text"))
+    """Of each group linked by fingerprints of four-word shingles at most four bits apart the smallest id stays."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text"), width=4, radius=2)
     stays = found.where("stays").select(F.col("doc_id").alias(_ID), F.col("tie").alias(_TIE)).distinct()
     keyed = _keyed(docs)
     kept = keyed.join(stays.withColumnsRenamed({_ID: "s_id", _TIE: "s_tie"}), F.col(_ID).eqNullSafe(F.col("s_id")) & (F.col(_TIE) == F.col("s_tie")), "left_semi")
