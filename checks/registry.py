@@ -34,7 +34,7 @@ from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import build_envelope, rederive, to_messages, unroll_pages
 from jobloom.sources.taxonomy import default_seed, read_seed
 from jobloom.streaming.drain import drain, drain_metrics
-from jobloom.streaming.upsert import read_upserted, upsert_stream
+from jobloom.streaming.upsert import compact_upserted, read_upserted, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -337,26 +337,36 @@ def w1_latest_posting(spark: SparkSession, sf: str) -> DataFrame:
     return silver(spark, sf)
 
 
+UPSERTED = ["event_id", *POSTING_KEY, "title", "location", "ingested_at", "posting_created_at"]
+
+
+def newest_value() -> list[Column]:
+    """The order of W1 as values, the greatest of which wins."""
+    return [F.col("ingested_at"), F.col("posting_created_at"), F.col("event_id")]
+
+
+def upserted(spark: SparkSession, root: str, rows: DataFrame) -> None:
+    upsert_stream(rows, root, shared_dir(spark, "upsert-checkpoint"), POSTING_KEY, newest_value()).awaitTermination()
+
+
 @query
 def w2_streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest row per posting, folded from a stream."""
-    kept = ["event_id", *POSTING_KEY, "title", "location", "ingested_at", "posting_created_at"]
-    rows = adapters.staged(spark, event_stream(spark, sf)).select(*kept)
-    root, checkpoint = shared_dir(spark, "upsert"), shared_dir(spark, "upsert-checkpoint")
-    order = newest_first([F.col("event_id").desc()])
-    upsert_stream(rows, root, checkpoint, POSTING_KEY, order, buckets=8).awaitTermination()
-    return read_upserted(spark, root, rows.schema)
+    """The newest row per posting, kept by a stream's state."""
+    rows = adapters.staged(spark, event_stream(spark, sf)).select(*UPSERTED)
+    root = shared_dir(spark, "upsert")
+    upserted(spark, root, rows)
+    return read_upserted(spark, root, rows.schema, POSTING_KEY, newest_value())
 
 
 @query
 def w2_replayed_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """A first fold of the older half of the log, then the whole log under a new checkpoint."""
-    kept = ["event_id", *POSTING_KEY, "title", "location", "ingested_at", "posting_created_at"]
-    rows = adapters.staged(spark, event_stream(spark, sf)).select(*kept)
-    root, order = shared_dir(spark, "upsert"), newest_first([F.col("event_id").desc()])
+    """The older half of the log, then the whole log under a new checkpoint, compacted in between and at the end."""
+    rows = adapters.staged(spark, event_stream(spark, sf)).select(*UPSERTED)
+    root = shared_dir(spark, "upsert")
     for part in (rows.where(F.col("ingested_at") < MID_MONTH), rows):
-        upsert_stream(part, root, shared_dir(spark, "upsert-checkpoint"), POSTING_KEY, order, buckets=8).awaitTermination()
-    return read_upserted(spark, root, rows.schema)
+        upserted(spark, root, part)
+        compact_upserted(spark, root, rows.schema, POSTING_KEY, newest_value())
+    return read_upserted(spark, root, rows.schema, POSTING_KEY, newest_value())
 
 
 # --- joins and aggregations ----------------------------------------------------

@@ -16,6 +16,8 @@ SETTINGS = {
     # A repeated key in a JSON object keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # The state of a keyed stream outgrows an executor's heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -3,141 +3,102 @@
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import StringType, StructType
 
-from jobloom.operators.dedup import latest_per_key, upsert_latest
+from jobloom.operators.dedup import latest_per_key
 
-# A key belongs to one bucket; each batch writes the buckets it touches as a new generation.
-BUCKET, GENERATION = "_bucket", "_generation"
+# The folder of a stored row: a micro-batch's, or a compaction's.
+PART = "_part"
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def newest_by_state(rows: DataFrame, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:
+    """The greatest row per key by ``newest`` (nulls least), as an aggregation that a stream keeps in its state.
 
-
-def _stored(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add(BUCKET, IntegerType()).add(GENERATION, LongType())
-
-
-def _newest_generations(files: DataFrame) -> Column | None:
-    """Filter on the newest generation of each bucket; reads partition columns only.
-
-    One row per bucket comes to the driver, a number the caller has fixed.
+    The state holds one row per key, so late and repeated rows never replace a newer one.  Give a tie-breaker last.
     """
-    buckets = defaultdict(list)
-    for row in files.groupBy(BUCKET).agg(F.max(GENERATION).alias("g")).collect():
-        buckets[row["g"]].append(row[BUCKET])
-    picks = [(F.col(GENERATION) == g) & F.col(BUCKET).isin(b) for g, b in sorted(buckets.items())]
-    return reduce(lambda a, b: a | b, picks) if picks else None
-
-
-def read_upserted(
-    spark: SparkSession, root: str, schema: StructType, before: int | None = None, only: Sequence[int] | None = None
-) -> DataFrame:
-    """The current rows below ``root``.
-
-    ``before`` hides generations from a batch on, ``only`` prunes to some buckets.
-    """
-    files = spark.read.schema(_stored(schema)).parquet(root)
-    if before is not None:
-        files = files.where(F.col(GENERATION) < before)
-    if only is not None:
-        files = files.where(F.col(BUCKET).isin(list(only)))
-    newest = _newest_generations(files)
-    return files.where(F.lit(False) if newest is None else newest).select(*schema.fieldNames())
-
-
-def upsert_batch(
-    batch: DataFrame, batch_id: int, root: str, keys: Sequence[str], order: Sequence[Column], buckets: int
-) -> None:
-    """Action: folds one batch into the rows below ``root``.
-
-    Only touched buckets are read and rewritten.  They appear as a new generation
-    next to the old one, so readers never see a half-written bucket, and a
-    repeated batch overwrites the generation it wrote before.
-    """
-    spark = batch.sparkSession
-    newest = latest_per_key(batch, keys, order).persist()
-    try:
-        touched = [r[0] for r in newest.select(_bucket(keys, buckets)).distinct().collect()]
-        if not touched:
-            return
-        current = read_upserted(spark, root, batch.schema, before=batch_id, only=touched)
-        (
-            upsert_latest(newest, current, keys, order)
-            .withColumns({BUCKET: _bucket(keys, buckets), GENERATION: F.lit(batch_id).cast("bigint")})
-            # Evens out file sizes: large buckets are split, small ones share a task.
-            .hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET, GENERATION)
-            .parquet(root)
-        )
-    finally:
-        newest.unpersist()
-
-
-def _take_over(spark: SparkSession, root: str, checkpoint: str, schema: StructType) -> int:
-    """The first generation of a checkpoint; owners are noted below ``root`` where readers do not look."""
-    place = f"{root}/_owners"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-    known = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    owners = {r.owner: r.first for r in spark.read.schema("owner string, first long").json(place).collect()} if known else {}
-    owner = hashlib.sha256(checkpoint.encode()).hexdigest()
-    if owner in owners:
-        if owners[owner] != max(owners.values()):
-            raise ValueError(f"{root} has been taken over by another checkpoint")
-        return owners[owner]
-    newest = spark.read.schema(_stored(schema)).parquet(root).agg(F.max(GENERATION)).first()[0]
-    first = max([-1 if newest is None else newest, *owners.values()]) + 1
-    spark.createDataFrame([(owner, first)], "owner string, first long").coalesce(1).write.mode("append").json(place)
-    return first
-
-
-def drop_superseded(spark: SparkSession, root: str, schema: StructType) -> int:
-    """Action: removes the generations that a newer one of the same bucket has replaced; returns how many.
-
-    The newest generation of a bucket holds its live rows however old it is, so
-    age says nothing.  Run it when no reader is at work on an old generation.
-    """
-    seen = spark.read.schema(_stored(schema)).parquet(root).select(BUCKET, GENERATION).distinct()
-    newest = seen.groupBy(BUCKET).agg(F.max(GENERATION).alias("_newest"))
-    old = seen.join(newest, BUCKET).where(F.col(GENERATION) < F.col("_newest")).collect()
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for row in old:
-        place = jvm.org.apache.hadoop.fs.Path(f"{root}/{BUCKET}={row[BUCKET]}/{GENERATION}={row[GENERATION]}")
-        place.getFileSystem(conf).delete(place, True)
-    return len(old)
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    return rows.groupBy(*keys).agg(F.max_by(whole, F.struct(*newest)).alias("_row")).select("_row.*")
+
+
+def _append(rows: DataFrame, root: str, part: str) -> None:
+    """Action: rows as one folder; the same part again replaces it."""
+    (
+        rows.withColumn(PART, F.lit(part))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PART)
+        .parquet(root)
+    )
 
 
 def upsert_stream(
-    rows: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column], buckets: int = 256
+    rows: DataFrame, root: str, checkpoint: str, keys: Sequence[str], newest: Sequence[Column]
 ) -> StreamingQuery:
-    """W2 (starts a query): keeps the newest row per key of a stream below ``root``.
+    """W2 (starts a query): what a stream changes is added below ``root``, a folder per micro-batch.
 
-    A checkpoint takes the root over when it first writes to it: its generations
-    follow all that are there, so a replay under a new checkpoint is folded in
-    like any other batch.  A checkpoint that has lost the root to a later one is
-    refused, because what it writes would be hidden.
+    Only keys a batch touches are written.  A batch repeated after a crash replaces its own folder.  Another checkpoint
+    adds its own folders: it may replay the topic or take part of it, since readers take the newest row by value.  The
+    state has a row per key; keep it in RocksDB, as ``get_spark`` does, and size ``spark.sql.shuffle.partitions`` before
+    the first start, because a checkpoint keeps that number.
     """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    # An empty write creates the root, so a reader may come before the first batch.
+    rows.sparkSession.createDataFrame([], _stored(rows.schema)).write.mode("append").partitionBy(PART).parquet(root)
 
-    # An empty write creates the root, so the first batch finds a table to read.
-    rows.sparkSession.createDataFrame([], _stored(rows.schema)).write.mode("append").parquet(root)
-    first = _take_over(rows.sparkSession, root, checkpoint, rows.schema)
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, first + batch_id, root, keys, order, buckets)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        _append(batch, root, f"{name}-{batch_id}")
 
     return (
-        rows.writeStream.foreachBatch(fold)
+        newest_by_state(rows, keys, newest)
+        .writeStream.outputMode("update")
+        .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _stored(schema: StructType) -> StructType:
+    return StructType([*schema.fields]).add(PART, StringType())
+
+
+def _parts(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(_stored(schema)).parquet(root)
+
+
+def _newest(rows: DataFrame, schema: StructType, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:
+    return latest_per_key(rows, keys, [c.desc_nulls_last() for c in newest]).select(*schema.fieldNames())
+
+
+def read_upserted(
+    spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], newest: Sequence[Column]
+) -> DataFrame:
+    """The newest row per key below ``root``."""
+    return _newest(_parts(spark, root, schema), schema, keys, newest)
+
+
+def compact_upserted(
+    spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], newest: Sequence[Column]
+) -> int:
+    """Action: one folder with the newest rows in place of those that are there now; returns how many it replaced.
+
+    The new folder is complete before an old one goes, so a crash leaves repeats, which readers ignore.  Folders that a
+    running stream adds meanwhile stay.  Readers that have begun may miss the files removed: run it between reads.
+    """
+    seen = [r[0] for r in _parts(spark, root, schema).select(PART).distinct().collect()]
+    if len(seen) < 2:
+        return 0
+    # The folders are named, not listed again, so what is read is what goes.
+    old = _parts(spark, root, schema).where(F.col(PART).isin(seen))
+    _append(_newest(old, schema, keys, newest), root, f"compacted-{uuid.uuid4().hex}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for part in seen:
+        place = jvm.org.apache.hadoop.fs.Path(f"{root}/{PART}={part}")
+        place.getFileSystem(conf).delete(place, True)
+    return len(seen)

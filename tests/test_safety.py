@@ -17,7 +17,7 @@ from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import unroll_pages
 from jobloom.sources.taxonomy import default_seed
 from jobloom.streaming.drain import drain, drain_metrics, message_stream
-from jobloom.streaming.upsert import drop_superseded, read_upserted, upsert_stream
+from jobloom.streaming.upsert import compact_upserted, read_upserted, upsert_stream
 
 
 def test_counters_cover_batches_that_recent_progress_forgets(spark, tmp_path):
@@ -74,30 +74,40 @@ def test_a_table_survives_a_build_that_dies(spark, layout):
     assert ids() == [4]
 
 
-def test_replay_under_a_new_checkpoint_is_folded_in(spark, tmp_path):
+def test_checkpoints_replay_and_resume_beside_each_other(spark, tmp_path):
     schema = "id long, at long, v string"
+    kind = spark.createDataFrame([], schema).schema
 
     def put(*values):
         spark.createDataFrame(list(values), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "rows"))
 
     def run(name):
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "rows"))
-        upsert_stream(stream, root, str(tmp_path / name), ["id"], [F.col("at").desc()], buckets=2).awaitTermination()
+        upsert_stream(stream, root, str(tmp_path / name), ["id"], [F.col("at"), F.col("v")]).awaitTermination()
+
+    def read():
+        return rows(read_upserted(spark, root, kind, ["id"], [F.col("at"), F.col("v")]))
 
     root = str(tmp_path / "root")
-    put((1, 1, "old"), (2, 1, "kept"))
+    put((1, 1, "old"), (2, 1, "kept"), (3, None, "no time"))
     run("first")
-    put((1, 2, "mid"))
+    put((1, 2, "mid"), (3, 0, "timed"))
     run("first")
     put((1, 3, "new"))
-    run("second")
-    kind = spark.createDataFrame([], schema).schema
-    assert rows(read_upserted(spark, root, kind)) == [(1, 3, "new"), (2, 1, "kept")]
-    with pytest.raises(ValueError, match="taken over"):
-        run("first")
-    assert drop_superseded(spark, root, kind) > 0
-    assert drop_superseded(spark, root, kind) == 0
-    assert rows(read_upserted(spark, root, kind)) == [(1, 3, "new"), (2, 1, "kept")]
+    run("second")  # replays everything
+    assert read() == [(1, 3, "new"), (2, 1, "kept"), (3, 0, "timed")]
+    assert compact_upserted(spark, root, kind, ["id"], [F.col("at"), F.col("v")]) == 3
+    put((2, 5, "late"), (1, 1, "older"))
+    run("first")  # resumes where it stopped; an older row changes nothing
+    assert read() == [(1, 3, "new"), (2, 5, "late"), (3, 0, "timed")]
+
+
+def test_a_stream_without_rows_can_be_read(spark, tmp_path):
+    schema = "id long, at long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "rows"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "rows"))
+    upsert_stream(stream, str(tmp_path / "root"), str(tmp_path / "c"), ["id"], [F.col("at")]).awaitTermination()
+    assert rows(read_upserted(spark, str(tmp_path / "root"), stream.schema, ["id"], [F.col("at")])) == []
 
 
 def test_texts_that_begin_with_a_brace_are_no_objects(spark):

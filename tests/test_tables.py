@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -13,7 +14,7 @@ from jobloom.operators.diff import table_diff
 from jobloom.operators.postings import newest_first, posting_tags, silver_postings, staging
 from jobloom.schemas import BRONZE, POSTING_KEY, SILVER_POSTINGS, STAGING
 from jobloom.sources.taxonomy import default_seed
-from jobloom.streaming.upsert import read_upserted, upsert_batch, upsert_stream
+from jobloom.streaming import upsert
 
 T0 = datetime(2024, 1, 1)
 STAGED = "source string, source_id string, ingested_at timestamp_ntz, title string, posting_created_at timestamp_ntz"
@@ -123,23 +124,47 @@ def test_upsert_keeps_the_newest_and_repeats_safely(spark):
     assert rows(upsert_latest(batch, once, POSTING_KEY, order)) == rows(once)
 
 
-def test_upsert_stream_equals_the_batch_result(spark, tmp_path):
+NEWEST = ["ingested_at", "posting_created_at", "title"]
+
+
+def newest_value():
+    return [F.col(c) for c in NEWEST]
+
+
+def test_upsert_stream_equals_the_batch_result_through_crashes(spark, tmp_path, monkeypatch):
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    order = newest_first([F.col("title").desc()])
+    append, calls = upsert._append, []
+
+    def dies_after_writing(*args):
+        append(*args)
+        calls.append(args[2])
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+
     log = []
-    for step in range(3):
-        part = [("s", str(i % 7), at((i * 5 + step * 3) % 11), f"{step}-{i}", T0) for i in range(20)]
+    for step in range(4):
+        part = [("s", str(i % 7) if i % 5 else None, at((i * 5 + step * 3) % 11), f"{step}-{i}", T0 if i % 3 else None) for i in range(20)]
         log += part
         spark.createDataFrame(part, STAGED).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(STAGED).option("maxFilesPerTrigger", 1).parquet(source)
-        upsert_stream(stream, root, checkpoint, POSTING_KEY, order, buckets=4).awaitTermination()
+        monkeypatch.setattr(upsert, "_append", dies_after_writing)
+        run = upsert.upsert_stream(stream, root, checkpoint, POSTING_KEY, newest_value())
+        if step == 1:
+            with pytest.raises(StreamingQueryException):
+                run.awaitTermination()
+        else:
+            run.awaitTermination()
     whole = spark.createDataFrame(log, STAGED)
-    expected = rows(latest_per_key(whole, POSTING_KEY, order))
-    assert rows(read_upserted(spark, root, whole.schema)) == expected
-    # A batch repeated after a crash leaves the same rows.
-    upsert_batch(spark.createDataFrame(log[40:], STAGED), 2, root, POSTING_KEY, order, 4)
-    assert rows(read_upserted(spark, root, whole.schema)) == expected
-
+    expected = rows(latest_per_key(whole, POSTING_KEY, newest_first([F.col("title").desc()])))
+    read = lambda: rows(upsert.read_upserted(spark, root, whole.schema, POSTING_KEY, newest_value()))
+    assert read() == expected
+    assert len(calls) == 5 and calls[1] == calls[2]  # the killed batch came again and replaced its folder
+    monkeypatch.setattr(upsert, "_append", append)
+    folders = spark.read.parquet(root).select(upsert.PART).distinct().count()
+    assert upsert.compact_upserted(spark, root, whole.schema, POSTING_KEY, newest_value()) == folders
+    assert upsert.compact_upserted(spark, root, whole.schema, POSTING_KEY, newest_value()) == 0
+    assert read() == expected
+    assert spark.read.parquet(root).count() == len(expected)
 
 # --- gold ------------------------------------------------------------------------------
 
