@@ -56,6 +56,17 @@ SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'not json' WHEN event_id % 31
 FROM {raw}
 """
 
+# Message values whose typed record has all of a posting, at the time of its event.
+POST_MSG = """
+SELECT event_id, source, ingested_at, concat('{{"source":"', source, '","source_id":"', source_id, '","ingested_at":"',
+  replace(CAST(ingested_at AS STRING), ' ', 'T'), 'Z","source_payload":{{}},"typed":{{"slug":"', slug, '","url":"', url,
+  '","title":"', title, '"', coalesce(',"company_name":"' || company_name || '"', ''),
+  coalesce(',"description":"' || description || '"', ''), coalesce(',"location":"' || location || '"', ''),
+  coalesce(',"tags":' || tags_json, ''), ',"remote":', coalesce(CAST(remote AS STRING), 'null'),
+  ',"job_types":["full-time"],"created_at":', CAST(created_at_epoch AS STRING), '}}}}') AS value
+FROM {post} WHERE title IS NOT NULL
+"""
+
 # Page payloads of 25 postings each over the whole log, then an empty page and one beyond it.
 JOB_PAGES = """
 SELECT CAST(p AS INT) AS page, concat('{{"data":[', string_agg(payload, ','), ']}}') AS payload
@@ -96,6 +107,10 @@ def messages(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(MSG, raw=raw(spark, events))
 
 
+def post_messages(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return spark.sql(POST_MSG, post=post(spark, events))
+
+
 def job_pages(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(JOB_PAGES, raw=raw(spark, events))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks import adapters
+from checks.registry import BUILT_COLUMNS
 from jobloom.sources.taxonomy import SKILLS
 
 CHECKED = ("title", "company_name", "remote", "location")
@@ -73,6 +74,10 @@ CTES = {
         SELECT *, lower(location) AS place FROM (
           SELECT DISTINCT ON (source, source_id) * FROM log
           ORDER BY source, source_id, ingested_at DESC, posting_created_at DESC, event_id DESC)""",
+    "mid_located": """
+        SELECT * FROM (
+          SELECT DISTINCT ON (source, source_id) * FROM log WHERE ingested_at < TIMESTAMP '2024-01-15'
+          ORDER BY source, source_id, ingested_at DESC, posting_created_at DESC, event_id DESC)""",
     "silver": f"""
         SELECT source, source_id, slug, company_name, title, description, url, location, remote, tags_json,
           '["full-time"]' AS job_types_json, posting_created_at, ingested_at AS last_seen_at,
@@ -127,6 +132,33 @@ CTES = {
                 lag(row(title, company_name, remote, location)) OVER w AS before, row_number() OVER w AS n FROM observed
               WINDOW w AS (PARTITION BY source, source_id ORDER BY snapshot_observed_at, event_id))
         WHERE n = 1 OR state IS DISTINCT FROM before""",
+    # The history after a run over the postings of mid-month and one over those of now.
+    "two_runs": """
+        WITH first_run AS (
+          SELECT source, source_id, slug, title, company_name, remote, location, ingested_at AS snapshot_observed_at FROM mid_located),
+        changed AS (
+          SELECT s.source, s.source_id FROM silver s LEFT JOIN first_run p ON p.source = s.source AND p.source_id = s.source_id
+          WHERE p.source IS NULL OR row(p.title, p.company_name, p.remote, p.location)
+            IS DISTINCT FROM row(s.title, s.company_name, s.remote, s.location))
+        SELECT p.*, TIMESTAMP '2024-01-15' AS valid_from, CASE WHEN EXISTS (SELECT 1 FROM changed c
+            WHERE c.source = p.source AND c.source_id = p.source_id) THEN TIMESTAMP '2024-02-01' END AS valid_to
+        FROM first_run p
+        UNION ALL
+        SELECT source, source_id, slug, title, company_name, remote, location, last_seen_at, TIMESTAMP '2024-02-01', NULL
+        FROM silver JOIN changed USING (source, source_id)""",
+    "first_board_runs": """
+        WITH first_run AS (
+          SELECT source, source_id, slug, title, company_name, remote, location, ingested_at AS snapshot_observed_at FROM mid_located WHERE source = 'board_a'),
+        changed AS (
+          SELECT s.source, s.source_id FROM silver s LEFT JOIN first_run p ON p.source = s.source AND p.source_id = s.source_id
+          WHERE p.source IS NULL OR row(p.title, p.company_name, p.remote, p.location)
+            IS DISTINCT FROM row(s.title, s.company_name, s.remote, s.location))
+        SELECT p.*, TIMESTAMP '2024-01-15' AS valid_from, CASE WHEN EXISTS (SELECT 1 FROM changed c
+            WHERE c.source = p.source AND c.source_id = p.source_id) THEN TIMESTAMP '2024-02-01' END AS valid_to
+        FROM first_run p
+        UNION ALL
+        SELECT source, source_id, slug, title, company_name, remote, location, last_seen_at, TIMESTAMP '2024-02-01', NULL
+        FROM silver JOIN changed USING (source, source_id)""",
     "catalogue_skills": f"""
         SELECT DISTINCT canonical AS skill, lower(trim(alias)) AS alias
         FROM (SELECT canonical, unnest(string_split(aliases, '|')) AS alias
@@ -141,6 +173,9 @@ USES = {
     "own": ["parsed"],
     "log": ["post"],
     "located": ["log"],
+    "mid_located": ["log"],
+    "two_runs": ["mid_located", "silver"],
+    "first_board_runs": ["mid_located", "silver"],
     "silver": ["located"],
     "fct": ["silver"],
     "tags": ["silver"],
@@ -246,6 +281,16 @@ _WEEKLY = """SELECT CAST(date_trunc('week', posting_date) AS TIMESTAMP) AS week,
 _POSTING = "posting_id, title, company_name, city, country_code, remote, url"
 _LINE_SIDE = "SELECT l_quantity, l_discount, l_tax, l_linestatus FROM lineitem WHERE l_returnflag"
 
+# Every row of every built table as text.
+_BUILT = " UNION ALL ".join(
+    f"SELECT '{short}' AS table_name, concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)}) AS row_text FROM {cte}"
+    for (short, columns), cte in zip(
+        BUILT_COLUMNS.items(),
+        ("silver", "tags", "first_board_runs", "skills", "companies", "fct", "demand", "remote_daily", "salaries"),
+        strict=True,
+    )
+)
+
 ORACLE = {
     "s1_unroll_pages": _with("raw", """
         SELECT CAST(floor(event_id / 25) AS INTEGER) + 1 AS page, CAST(payload AS JSON)->>'slug' AS slug,
@@ -361,6 +406,16 @@ ORACLE = {
     "c3_scd2_as_of": _with("history", """
         SELECT * FROM history WHERE valid_from <= TIMESTAMP '2024-01-15'
           AND coalesce(valid_to, TIMESTAMP '9999-01-01') > TIMESTAMP '2024-01-15'"""),
+    "c2_history_runs": _with("two_runs", "SELECT * FROM two_runs"),
+    "a2_rebuilt_days": _with("remote_daily", "SELECT * FROM remote_daily"),
+    "a3_rebuilt_days": _with("demand", "SELECT * FROM demand"),
+    "q2_stored_top_skills": _with("demand", f"""
+        {_TOP_CELLS} WHERE posting_date >= TIMESTAMP '2024-01-01' GROUP BY ALL
+        ORDER BY sum(posting_count) DESC, posting_date, skill, country_code NULLS LAST LIMIT 20"""),
+    "j1_bucketed_demand": _with("demand", "SELECT * FROM demand"),
+    "s13_build": _with("silver tags first_board_runs skills companies fct demand remote_daily salaries", f"""
+        SELECT table_name, row_text, count(*) AS row_count FROM ({_BUILT}
+          UNION ALL SELECT 'gate', '0' UNION ALL SELECT 'gate', '1') GROUP BY ALL"""),
     "q1_postings": _with("fct", f"SELECT {_POSTING} FROM fct {_NEWEST_FIRST} LIMIT 50"),
     "q1_postings_by_skill": _with("fct tags skills", f"""
         SELECT {_POSTING} FROM (SELECT fct.* FROM fct JOIN tags ON tags.source_id = posting_id JOIN skills ON alias = tag

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from jobloom.functions.contract import validate_contract
 from jobloom.functions.json import with_settled
 from jobloom.functions.text import (
     blank_to_null,
+    day_of,
     extract_salary,
     infer_country,
     normalize_city,
@@ -26,7 +29,10 @@ from jobloom.operators import gold, quality, scd
 from jobloom.operators.dedup import latest_per_key
 from jobloom.operators.diff import table_diff
 from jobloom.operators.postings import newest_first, posting_tags, silver_postings, staging
+from jobloom.plans import build as plans
 from jobloom.plans import serve
+from jobloom.plans.build import changed_days
+from jobloom.plans.tables import build_daily, materialize, observe_run, rebuild_days
 from jobloom.schemas import POSTING_KEY
 from jobloom.session import shared_dir
 from jobloom.sources.bronze import expire_partitions, read_bronze, write_bronze
@@ -43,6 +49,19 @@ MID_MONTH = datetime(2024, 1, 15)
 RUN_TS = datetime(2024, 2, 1)
 WRITE_TIME = datetime(2024, 1, 31, 9, tzinfo=UTC)
 
+# What a whole build is compared by.
+BUILT_COLUMNS = {
+    "silver_postings": ("source", "source_id", "title", "company_name", "remote", "location", "last_seen_at", "city_normalized", "country_code"),
+    "silver_posting_tags": ("source", "source_id", "last_seen_at", "tag"),
+    "snp_postings": ("source", "source_id", "title", "company_name", "remote", "location", "snapshot_observed_at", "valid_from", "valid_to"),
+    "dim_skill": ("skill", "alias"),
+    "dim_company": ("company_name", "posting_count", "remote_posting_count", "de_posting_count", "first_seen_at", "last_seen_at"),
+    "fct_postings": ("posting_id", "title", "company_name", "city", "country_code", "remote", "url", "posting_created_at", "posting_created_date"),
+    "fct_skill_demand_daily": ("posting_date", "skill", "country_code", "posting_count", "remote_posting_count"),
+    "fct_remote_policy_daily": ("posting_date", "country_code", "posting_count", "remote_count"),
+    "fct_salary_mentions": ("source_id", "title", "country_code", "salary_eur", "salary_band"),
+}
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -429,6 +448,88 @@ def c3_scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return scd.scd2_as_of(history(spark, sf), MID_MONTH)
 
 
+@query
+def c2_history_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored history after runs over the postings of mid-month and of now, in equal buckets of the key."""
+    name = f"{warehouse(spark)}snapshots.snp_postings"
+    for day, rows in ((MID_MONTH, silver_until(spark, sf, MID_MONTH)), (RUN_TS, silver(spark, sf))):
+        observe_run(rows, name, day, buckets=8)
+    return spark.table(name)
+
+
+# --- whole builds -----------------------------------------------------------------
+
+
+def warehouse(spark: SparkSession) -> str:
+    """The prefix of databases that lie in the shared folder, for one query."""
+    prefix = f"q{uuid.uuid4().hex}_"
+    for database in ("silver", "snapshots", "gold"):
+        spark.sql(f"CREATE DATABASE {prefix}{database} LOCATION '{shared_dir(spark, database)}'")
+    return prefix
+
+
+def silver_until(spark: SparkSession, sf: str, until: datetime) -> DataFrame:
+    log = staged(spark, sf).where(F.col("ingested_at") < F.lit(until).cast("timestamp_ntz"))
+    return silver_postings(log, tiebreak=[F.col("event_id").desc()])
+
+
+def rebuilt_daily(spark: SparkSession, sf: str, table_name: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A daily table of mid-month's postings, brought up to date for the days that have changed since."""
+    name = f"{warehouse(spark)}gold.{table_name}"
+    before, now = silver_until(spark, sf, MID_MONTH), silver(spark, sf)
+    build_daily(compute(before), name, "posting_date")
+    return rebuild_days(now, changed_days(before, now), day_of(F.col("posting_created_at")), compute, name, "posting_date")
+
+
+@query
+def a2_rebuilt_days(spark: SparkSession, sf: str) -> DataFrame:
+    return rebuilt_daily(spark, sf, "fct_remote_policy_daily", gold.remote_policy_daily)
+
+
+@query
+def a3_rebuilt_days(spark: SparkSession, sf: str) -> DataFrame:
+    return rebuilt_daily(spark, sf, "fct_skill_demand_daily", lambda rows: gold.skill_demand_of(rows, skills(spark)))
+
+
+@query
+def q2_stored_top_skills(spark: SparkSession, sf: str) -> DataFrame:
+    """Top skills of the trailing month from the stored table, of which only that month's folders are read."""
+    name = f"{warehouse(spark)}gold.fct_skill_demand_daily"
+    return serve.top_skills(build_daily(demand(spark, sf), name, "posting_date"), AS_OF, days=30, limit=20)
+
+
+@query
+def j1_bucketed_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """Skill demand from tags and postings stored in equal buckets, which meet without a shuffle."""
+    prefix = warehouse(spark)
+    current = materialize(silver(spark, sf), f"{prefix}silver.silver_postings", buckets=8)
+    tags = materialize(posting_tags(current), f"{prefix}silver.silver_posting_tags", buckets=8)
+    return gold.skill_demand_daily(tags, current, skills(spark))
+
+
+@query
+def s13_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages to every table, twice: one board until mid-month, then all; each verdict, and all rows as text."""
+    prefix, root = warehouse(spark), shared_dir(spark, "bronze")
+    names = plans.tables_below(prefix)
+    messages = adapters.post_messages(spark, events(spark, sf))
+    early = (F.col("source") == "board_a") & (F.col("ingested_at") < F.lit(MID_MONTH).cast("timestamp_ntz"))
+    verdicts = []
+    for run_ts, part in ((MID_MONTH, early), (RUN_TS, ~early)):
+        for board in ("board_a", "board_b"):
+            write_bronze(parse_messages(messages.where(part & (F.col("source") == board)), board), root, run_ts.replace(tzinfo=UTC))
+        verdicts.append(plans.run(spark, read_bronze(spark, root), default_seed(spark), run_ts, "board_a", buckets=8, names=names))
+    texts = [
+        spark.table(names[short]).select(
+            F.lit(short).alias("table_name"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]).alias("row_text"),
+        )
+        for short, columns in BUILT_COLUMNS.items()
+    ]
+    gates = spark.range(2).select(F.lit("gate").alias("table_name"), F.element_at(F.array(*map(F.lit, verdicts)), F.col("id").cast("int") + 1).cast("string").alias("row_text"))
+    return reduce(DataFrame.union, [*texts, gates]).groupBy("table_name", "row_text").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # --- read queries ------------------------------------------------------------------
 
 

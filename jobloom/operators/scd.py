@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.schemas import POSTING_KEY, SNAPSHOT, VERSIONED_COLUMNS
+from jobloom.schemas import POSTING_KEY, VERSIONED_COLUMNS
 
 OBSERVED = "snapshot_observed_at"
 
@@ -101,23 +101,21 @@ def _side(prefix: str, columns: Sequence[str], valid_from: Column, valid_to: Col
     )
 
 
-def scd2_apply(
-    history: DataFrame,
+def scd2_changes(
+    still_open: DataFrame,
     current: DataFrame,
     run_ts: datetime,
     keys: Sequence[str] = POSTING_KEY,
     check_cols: Sequence[str] = VERSIONED_COLUMNS,
 ) -> DataFrame:
-    """The history after observing ``current`` at ``run_ts``.
+    """The open versions after observing ``current`` at ``run_ts``, and those the observation closes.
 
     New key: a version opens.  Checked column changed: the open version closes and
-    a new one opens.  Unchanged: nothing is written.  Missing key: its version
-    stays open.  ``current`` has one row per key.  Closed versions, the bulk of a
-    long history, bypass the join.
+    a new one opens.  Unchanged: the version stays as it is.  Missing key: its
+    version stays open.  Both sides have one row per key; where both are stored in
+    equal buckets of the keys the join shuffles neither.
     """
-    columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
-    closed = history.where(F.col("valid_to").isNotNull())
-    still_open = history.where(F.col("valid_to").isNull())
+    columns = [c for c in still_open.columns if c not in ("valid_from", "valid_to")]
     no_time, run = F.lit(None), F.lit(run_ts)
 
     h = still_open.withColumn("_known", F.lit(True)).alias("h")
@@ -135,7 +133,23 @@ def scd2_apply(
         .when(F.col("c._seen").isNull() | same, F.array(kept))
         .otherwise(F.array(ended, opened))
     )
-    touched = h.join(c, match, "full_outer").select(F.inline(versions))
+    return h.join(c, match, "full_outer").select(F.inline(versions))
+
+
+def scd2_apply(
+    history: DataFrame,
+    current: DataFrame,
+    run_ts: datetime,
+    keys: Sequence[str] = POSTING_KEY,
+    check_cols: Sequence[str] = VERSIONED_COLUMNS,
+) -> DataFrame:
+    """The whole history after observing ``current`` at ``run_ts`` (``scd2_changes``).
+
+    Closed versions, the bulk of a long history, bypass the join.
+    """
+    columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
+    closed = history.where(F.col("valid_to").isNotNull())
+    touched = scd2_changes(history.where(F.col("valid_to").isNull()), current, run_ts, keys, check_cols)
     return closed.select(*columns, "valid_from", "valid_to").unionByName(touched)
 
 
@@ -144,16 +158,3 @@ def scd2_as_of(history: DataFrame, ts: datetime | Column) -> DataFrame:
     moment = (ts if isinstance(ts, Column) else F.lit(ts)).cast("timestamp_ntz")
     ends_later = F.col("valid_to").isNull() | (moment < F.col("valid_to"))
     return history.where((F.col("valid_from") <= moment) & ends_later)
-
-
-def snapshot(
-    previous: DataFrame | None, silver: DataFrame, run_ts: datetime
-) -> DataFrame:
-    """One observation run over silver; without a previous history every key opens."""
-    current = snapshot_input(silver)
-    if previous is None:
-        opened = current.withColumns(
-            {"valid_from": F.lit(run_ts).cast("timestamp_ntz"), "valid_to": F.lit(None).cast("timestamp_ntz")}
-        )
-        return opened.select(*SNAPSHOT.fieldNames())
-    return scd2_apply(previous, current, run_ts)

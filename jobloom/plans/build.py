@@ -1,13 +1,15 @@
-"""Materialisation and the build order of all tables."""
+"""The build order of all tables, whole or for the days a batch has touched."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from jobloom.functions.text import day_of
+from jobloom.operators.diff import table_diff
 from jobloom.operators.gold import (
     dim_company,
     dim_skill,
@@ -18,8 +20,8 @@ from jobloom.operators.gold import (
 )
 from jobloom.operators.postings import posting_tags, silver_postings, staging
 from jobloom.operators.quality import bronze_rules, check, gate, quality_report, table_rules, warehouse_tables
-from jobloom.operators.scd import snapshot
-from jobloom.schemas import POSTING_KEY
+from jobloom.plans.tables import build_daily, materialize, observe_run, publish, rebuild_days, version_of, write_version
+from jobloom.schemas import POSTING_KEY, SILVER_POSTINGS
 
 TABLES: Mapping[str, str] = {
     "silver_postings": "silver.silver_postings",
@@ -33,143 +35,100 @@ TABLES: Mapping[str, str] = {
     "fct_salary_mentions": "gold.fct_salary_mentions",
 }
 STAGING_VIEW = "stg_postings"
+# Days whose gold rows a build is about to replace.
+_PENDING = "pending_days"
+_DAY = "posting_date"
+# The columns of silver that the daily tables depend on.
+_DAILY_INPUT = ("posting_created_at", "country_code", "remote", "tags_json")
 
 
-def materialize(
-    df: DataFrame,
-    name: str,
-    kind: str = "table",
-    buckets: int | None = None,
-    keys: Sequence[str] = POSTING_KEY,
-    partition_by: Sequence[str] = (),
-) -> DataFrame:
-    """S13 (action for tables): the data under ``name``, and a DataFrame reading it.
-
-    Each build writes a folder of its own; then one catalog call points the table
-    at it, so readers see the old rows or the new ones, and a build that dies
-    loses nothing.  A table may be built from itself.  The folder before stays for
-    readers that have begun, until the build after next.  ``buckets`` stores the
-    table hashed and sorted by ``keys``: later joins on the keys need no shuffle;
-    ``partition_by`` makes folders that a filter on those columns prunes.
-    """
-    spark = df.sparkSession
-    if kind == "view":
-        df.createOrReplaceTempView(name)
-        return spark.table(name)
-    if kind != "table":
-        raise ValueError("kind must be 'table' or 'view'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0] or 'default'}")
-    recover(spark, name)
-    following = f"{name}__next"
-    database, _, short = name.rpartition(".")
-    root = spark.sql(f"DESCRIBE DATABASE {database or 'default'}").where("info_name = 'Location'").first()[1]
-    path = f"{root.rstrip('/')}/{short}__{uuid.uuid4().hex}"
-    writer = df if buckets is None else df.repartition(buckets, *keys)
-    writer = writer.write.format("parquet").option("compression", "zstd").option("path", path)
-    if buckets is not None:
-        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(following)
-    swap(spark, name)
-    return spark.table(name)
-
-
-def _location(spark: SparkSession, name: str) -> str:
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()[1]
-
-
-def _shape(spark: SparkSession, name: str) -> tuple:
-    """What has to stay the same for a table to be pointed at another folder."""
-    layout = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name in ('Num Buckets', 'Bucket Columns')")
-    columns = [(f.name, f.dataType) for f in spark.table(name).schema]
-    return columns, sorted(tuple(r)[:2] for r in layout.collect())
-
-
-def swap(spark: SparkSession, name: str) -> None:
-    """Action: the finished build ``name__next`` becomes ``name``.
-
-    An existing table of the same shape is pointed at the new folder in one call.
-    A first build is renamed; its folder is outside the catalog's care, so nothing
-    is copied.  A table of another shape, or one whose partitions the catalog
-    lists one by one, is replaced in two calls, which ``recover`` completes should
-    a build die between them.
-    """
-    following = f"{name}__next"
-    exists = spark.catalog.tableExists(name)
-    old = _location(spark, name) if exists else None
-    older = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'jobloom.previous'").first() if exists else None
-    partitioned = any(c.isPartition for c in spark.catalog.listColumns(following))
-    if exists and not partitioned and _shape(spark, name) == _shape(spark, following):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_location(spark, following)}'")
-        spark.catalog.refreshTable(name)
-        spark.sql(f"DROP TABLE {following}")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
-    if old is not None:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('jobloom.previous' = '{old}')")
-    if older is not None and older[1] not in (old, _location(spark, name)):
-        _remove(spark, older[1])
-
-
-def recover(spark: SparkSession, name: str) -> None:
-    """Action: completes or clears what a build that died has left behind.
-
-    ``name__next`` is in the catalog only when all its files are written.  Without
-    ``name`` it is the newest complete table and takes its place, so a history is
-    never begun anew while one lies there; beside ``name`` it is dropped and built
-    again from the rows ``name`` still has.
-    """
-    following = f"{name}__next"
-    if not spark.catalog.tableExists(following):
-        return
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {following}")
-    else:
-        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+def tables_below(prefix: str) -> dict[str, str]:
+    """The names of all tables in databases that begin with ``prefix``, for a second warehouse in one catalog."""
+    return {short: prefix + name for short, name in TABLES.items()}
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+def changed_days(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The days whose daily rows differ between two states of silver: one column, ``posting_date``.
+
+    A posting that moves from one day to another touches both.  Both sides have one row per key; stored in equal buckets
+    of the keys they meet without a shuffle.
+    """
+    side = lambda df: df.select(*POSTING_KEY, F.struct(*_DAILY_INPUT).alias("_row"))
+    a, b = side(before).alias("a"), side(after).alias("b")
+    met = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in POSTING_KEY], "full_outer")
+    differing = met.where(~F.col("a._row").eqNullSafe(F.col("b._row")))
+    day = lambda s: F.when(F.col(f"{s}._row").isNotNull(), F.struct(day_of(F.col(f"{s}._row.posting_created_at")).alias(_DAY)))
+    return differing.select(F.inline(F.array_compact(F.array(day("a"), day("b"))))).distinct()
 
 
 def build(
-    spark: SparkSession, bronze: DataFrame, seed: DataFrame, run_ts: datetime, buckets: int | None = None
+    spark: SparkSession,
+    bronze: DataFrame,
+    seed: DataFrame,
+    run_ts: datetime,
+    buckets: int | None = None,
+    names: Mapping[str, str] = TABLES,
+    full: bool = False,
 ) -> dict[str, DataFrame]:
     """Action: staging view, then silver, snapshot and gold tables, each from the one before.
 
-    Every gold table reads the written silver table, so the log is deduplicated
-    once.  ``buckets`` co-locates silver and its history for the snapshot join.
+    Every gold table reads the written silver table, so the log is deduplicated once.  ``buckets`` co-locates silver with
+    its history and with the silver before.  The daily tables are rewritten for the days that differ from the last
+    finished build only, unless ``full``, the first build, or another taxonomy.  Those days are noted first and forgotten
+    at the end, so the build after one that died takes them up again.
     """
     staged = materialize(staging(bronze), STAGING_VIEW, kind="view")
-    silver = materialize(silver_postings(staged), TABLES["silver_postings"], buckets=buckets)
-    past = TABLES["snp_postings"]
-    recover(spark, past)
-    previous = spark.table(past) if spark.catalog.tableExists(past) else None
-    skills = materialize(dim_skill(seed), TABLES["dim_skill"])
+    silver_name, skill_name = names["silver_postings"], names["dim_skill"]
+    version = write_version(silver_postings(staged), silver_name, buckets)
+    silver = spark.table(version).select(*SILVER_POSTINGS.fieldNames())
+    taxonomy = dim_skill(seed)
+    daily = {
+        "fct_skill_demand_daily": lambda rows: skill_demand_of(rows, taxonomy),
+        "fct_remote_policy_daily": remote_policy_daily,
+    }
+    pending = names["fct_skill_demand_daily"].rpartition(".")[0] + f".{_PENDING}"
+    stored = all(version_of(spark, names[n]) for n in ("silver_postings", "dim_skill", *daily))
+    whole = full or not stored
+    if not whole:
+        compared = table_diff(spark.table(skill_name), taxonomy).first()
+        whole = bool(compared.only_in_a or compared.only_in_b)
+    created = day_of(F.col("posting_created_at"))
+    if stored:
+        before = spark.table(silver_name)
+        days = changed_days(before, silver) if not whole else before.select(created.alias(_DAY)).union(silver.select(created.alias(_DAY)))
+        if spark.catalog.tableExists(pending):
+            days = days.union(spark.table(pending))
+        days = materialize(days.distinct(), pending)
+    for name, compute in daily.items():
+        if whole:
+            build_daily(compute(silver), names[name], _DAY)
+        else:
+            rebuild_days(silver, days, created, compute, names[name], _DAY)
     derived = {
         "silver_posting_tags": posting_tags(silver),
         "dim_company": dim_company(silver),
         "fct_postings": fct_postings(silver),
-        "fct_skill_demand_daily": skill_demand_of(silver, skills),
-        "fct_remote_policy_daily": remote_policy_daily(silver),
         "fct_salary_mentions": salary_mentions(silver),
     }
-    tables = {name: materialize(df, TABLES[name]) for name, df in derived.items()}
-    history = materialize(snapshot(previous, silver, run_ts), past, buckets=buckets)
-    return {"silver_postings": silver, "dim_skill": skills, "snp_postings": history, **tables}
+    for name, df in derived.items():
+        materialize(df, names[name], buckets=buckets if name == "silver_posting_tags" else None)
+    materialize(taxonomy, skill_name)
+    observe_run(silver, names["snp_postings"], run_ts, buckets)
+    publish(spark, silver_name, version, silver.columns)
+    materialize(silver.select(created.alias(_DAY)).where(F.lit(False)), pending)
+    return {short: spark.table(name) for short, name in names.items()}
 
 
-def verify(spark: SparkSession, source: str | None = None, bronze: DataFrame | None = None) -> int:
+def verify(
+    spark: SparkSession, source: str | None = None, bronze: DataFrame | None = None, names: Mapping[str, str] = TABLES
+) -> int:
     """G13 (action): checks the written tables; 0 passed, 1 failed, 2 missing.
 
     ``bronze`` adds the rule on the log itself: rows that staging leaves out
     because nobody can read their time fail the gate.
     """
     rules = table_rules(source)
-    tables = warehouse_tables(spark, {name: TABLES[name] for name in rules})
+    tables = warehouse_tables(spark, {name: names[name] for name in rules})
     if tables is None:
         return gate(None)
     report = quality_report(tables, rules)
@@ -185,7 +144,9 @@ def run(
     run_ts: datetime,
     source: str | None = None,
     buckets: int | None = None,
+    names: Mapping[str, str] = TABLES,
+    full: bool = False,
 ) -> int:
     """Action: builds every table in order, then returns the gate's verdict."""
-    build(spark, bronze, seed, run_ts, buckets)
-    return verify(spark, source, bronze)
+    build(spark, bronze, seed, run_ts, buckets, names, full)
+    return verify(spark, source, bronze, names)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from conftest import rows
 from jobloom.operators.gold import dim_skill, skill_demand_daily
 from jobloom.operators.quality import bronze_rules, check
-from jobloom.plans.build import materialize, recover
 from jobloom.sources.bronze import drop_expired, expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import unroll_pages
@@ -53,27 +52,6 @@ def test_unreadable_times_fail_the_bronze_rule(spark):
     assert rows(check(bronze, bronze_rules())) == [("ingested_at.readable", 2, False)]
 
 
-@pytest.mark.parametrize("layout", [{}, {"buckets": 2, "keys": ["id"]}, {"partition_by": ["day"]}])
-def test_a_table_survives_a_build_that_dies(spark, layout):
-    spark.sql("DROP TABLE IF EXISTS safe.history")
-    spark.sql("DROP TABLE IF EXISTS safe.history__next")
-    made = lambda *ids: spark.createDataFrame([(i, f"d{i % 2}") for i in ids], "id long, day string").select("id", "day")
-    ids = lambda: [r[0] for r in rows(spark.table("safe.history"), "id")]
-    materialize(made(1, 2), "safe.history", **layout)
-    # Dies after writing, before taking the place: the next build starts from the rows that were there.
-    made(9).write.saveAsTable("safe.history__next")
-    recover(spark, "safe.history")
-    assert ids() == [1, 2]
-    now = spark.table("safe.history")
-    assert rows(materialize(now.union(made(3).select(*now.columns)), "safe.history", **layout), "id") == [(1,), (2,), (3,)]
-    # Dies between taking the old table away and renaming: the finished build takes its place.
-    spark.sql("ALTER TABLE safe.history RENAME TO safe.history__next")
-    recover(spark, "safe.history")
-    assert ids() == [1, 2, 3]
-    materialize(made(4), "safe.history", **layout)
-    assert ids() == [4]
-
-
 def test_checkpoints_replay_and_resume_beside_each_other(spark, tmp_path):
     schema = "id long, at long, v string"
     kind = spark.createDataFrame([], schema).schema

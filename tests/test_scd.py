@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from conftest import rows
-from jobloom.operators.scd import OBSERVED, scd2_apply, scd2_as_of, scd2_from_history, snapshot
+from jobloom.operators.scd import OBSERVED, scd2_apply, scd2_as_of, scd2_from_history
 from jobloom.schemas import SILVER_POSTINGS, SNAPSHOT
 
 LOG = (
@@ -131,12 +131,3 @@ def test_as_of(spark):
     assert rows(scd2_as_of(history, at(0)), "source_id", "title") == [("a", "old")]
     assert rows(scd2_as_of(history, at(5)), "source_id", "title") == [("a", "new"), ("b", "t")]
     assert scd2_as_of(history, at(-1)).count() == 0
-
-
-def test_snapshot_runs(spark):
-    columns = SILVER_POSTINGS.fieldNames()
-    record = {"source": "board", "source_id": "a", "title": "t", "last_seen_at": at(0)}
-    silver = spark.createDataFrame([tuple(record.get(c) for c in columns)], SILVER_POSTINGS)
-    first = snapshot(None, silver, at(1))
-    assert rows(first, "source_id", "valid_from", "valid_to") == [("a", at(1), None)]
-    assert rows(snapshot(first, silver, at(2))) == rows(first)
