@@ -49,13 +49,43 @@ FROM {post}
 
 # Message values, some of them no JSON and some no object.
 MSG = """
-SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'not json' WHEN event_id % 31 = 0 THEN '[1]'
+SELECT event_id, ingested_at AS sent_at, CASE WHEN event_id % 29 = 0 THEN 'not json' WHEN event_id % 31 = 0 THEN '[1]'
   ELSE concat('{{"source":"', source, '","source_id":"', source_id,
     '","ingested_at":"2024-01-01T00:00:00Z","source_payload":', payload,
     CASE WHEN event_id % 13 = 0 THEN ',"typed":null}}' ELSE concat(',"typed":', payload, '}}') END) END AS value
 FROM {raw}
 """
 
+# Tables in which every quality rule finds something; {t} stands for the sound table.
+SPOILT = {
+    "silver_postings": """
+SELECT CASE WHEN k % 5 = 0 THEN NULL ELSE source END AS source, CASE WHEN k % 5 = 1 THEN NULL ELSE source_id END AS source_id,
+  CASE WHEN k % 5 = 2 THEN NULL ELSE title END AS title, CASE WHEN k % 5 = 3 THEN NULL ELSE last_seen_at END AS last_seen_at,
+  CASE WHEN k % 3 = 0 THEN 'FR' ELSE country_code END AS country_code, k
+FROM (SELECT *, CAST(substr(source_id, 2) AS INT) AS k FROM {t} UNION ALL SELECT *, CAST(substr(source_id, 2) AS INT) FROM {t}) twice""",
+    "silver_posting_tags": """
+SELECT CASE WHEN k % 3 = 0 THEN NULL ELSE source END AS source, CASE WHEN k % 3 = 1 THEN NULL ELSE source_id END AS source_id,
+  CASE WHEN k % 3 = 2 THEN NULL ELSE tag END AS tag FROM (SELECT *, CAST(substr(source_id, 2) AS INT) AS k FROM {t}) numbered""",
+    "fct_postings": """
+SELECT CASE WHEN k % 4 = 0 THEN NULL ELSE posting_id END AS posting_id, CASE WHEN k % 4 = 1 THEN NULL ELSE title END AS title,
+  CASE WHEN k % 4 = 2 THEN NULL ELSE last_seen_at END AS last_seen_at, CASE WHEN k % 3 = 0 THEN 'FR' ELSE country_code END AS country_code
+FROM (SELECT *, CAST(substr(posting_id, 2) AS INT) AS k FROM {t} UNION ALL SELECT *, CAST(substr(posting_id, 2) AS INT) FROM {t}) twice""",
+    "dim_company": """
+SELECT CASE WHEN posting_count % 2 = 0 THEN NULL ELSE company_name END AS company_name,
+  CASE WHEN length(company_name) % 2 = 0 THEN 0 ELSE posting_count END AS posting_count
+FROM (SELECT * FROM {t} UNION ALL SELECT * FROM {t}) twice""",
+    "dim_skill": """
+SELECT CASE WHEN length(alias) % 2 = 0 THEN NULL ELSE skill END AS skill, CASE WHEN length(alias) % 3 = 0 THEN NULL ELSE alias END AS alias FROM {t}""",
+    "fct_skill_demand_daily": """
+SELECT CASE WHEN length(skill) % 3 = 0 THEN NULL ELSE posting_date END AS posting_date, CASE WHEN length(skill) % 2 = 0 THEN NULL ELSE skill END AS skill,
+  country_code, CASE WHEN country_code = 'AT' THEN NULL ELSE posting_count - 1 END AS posting_count, remote_posting_count, 'x' AS extra FROM {t}""",
+    "fct_remote_policy_daily": """
+SELECT CASE WHEN country_code = 'DE' THEN NULL ELSE posting_date END AS posting_date, CASE WHEN country_code = 'AT' THEN NULL ELSE country_code END AS country_code,
+  remote_share + 0.5 AS remote_share FROM {t}""",
+    "fct_salary_mentions": """
+SELECT CASE WHEN salary_eur % 2000 = 0 THEN NULL ELSE source_id END AS source_id, salary_eur * 6 AS salary_eur FROM {t}""",
+}
+
 # Message values whose typed record has all of a posting, at the time of its event.
 POST_MSG = """
 SELECT event_id, source, ingested_at, concat('{{"source":"', source, '","source_id":"', source_id, '","ingested_at":"',

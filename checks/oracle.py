@@ -64,9 +64,9 @@ CTES = {
     "raw": adapters.RAW.format(post="post"),
     "msg": adapters.MSG.format(raw="raw"),
     "parsed": """
-        SELECT try_cast(value AS JSON) AS j FROM msg""",
+        SELECT sent_at, try_cast(value AS JSON) AS j FROM msg""",
     "own": """
-        SELECT j FROM parsed WHERE json_type(j) = 'OBJECT' AND j->>'source' = 'board_a'""",
+        SELECT sent_at, j FROM parsed WHERE json_type(j) = 'OBJECT' AND j->>'source' = 'board_a'""",
     "log": """
         SELECT *, make_timestamp(created_at_epoch * 1000000) AS posting_created_at
         FROM post WHERE title IS NOT NULL""",
@@ -165,6 +165,12 @@ CTES = {
               FROM ({adapters.CATALOGUE.format(part="part")}))""",
 }
 
+CTES |= {f"spoilt_{cte}": adapters.SPOILT[t].format(t=cte) for t, cte in (
+    ("silver_postings", "silver"), ("silver_posting_tags", "tags"), ("fct_postings", "fct"), ("dim_company", "companies"),
+    ("dim_skill", "catalogue_skills"), ("fct_skill_demand_daily", "demand"), ("fct_remote_policy_daily", "remote_daily"),
+    ("fct_salary_mentions", "salaries"),
+)}
+
 # What each expression reads, so that a query carries only what it needs.
 USES = {
     "raw": ["post"],
@@ -187,6 +193,8 @@ USES = {
     "history": ["observed"],
 }
 
+USES |= {name: [name.removeprefix("spoilt_")] for name in CTES if name.startswith("spoilt_")}
+
 
 def _with(names: str, body: str) -> str:
     needed: set[str] = set()
@@ -245,32 +253,49 @@ def _repeated(table: str, cte: str, column: str, where: str = "true") -> str:
 
 
 _UNKNOWN_COUNTRY = "country_code NOT IN ('DE', 'AT', 'CH')"
-_QUALITY = " UNION ALL ".join(
-    [
-        *[_rule(t, "contract", "SELECT 0") for t in ("silver_postings", "fct_postings", "fct_skill_demand_daily")],
-        *_no_nulls("silver_postings", "silver", "source", "source_id", "title", "last_seen_at"),
-        _repeated("silver_postings", "silver", "source_id", "source = 'board_a'"),
-        _broken("silver_postings", "silver", "country_code.accepted", _UNKNOWN_COUNTRY),
-        *_no_nulls("silver_posting_tags", "tags", "source", "source_id", "tag"),
-        *_no_nulls("fct_postings", "fct", "posting_id", "title", "last_seen_at"),
-        _repeated("fct_postings", "fct", "posting_id"),
-        _broken("fct_postings", "fct", "country_code.accepted", _UNKNOWN_COUNTRY),
-        *_no_nulls("dim_company", "companies", "company_name"),
-        _repeated("dim_company", "companies", "company_name"),
-        _broken("dim_company", "companies", "posting_count.range", "posting_count < 1"),
-        *_no_nulls("dim_skill", "catalogue_skills", "skill", "alias"),
-        *_no_nulls("fct_skill_demand_daily", "demand", "posting_date", "skill", "posting_count"),
-        _broken("fct_skill_demand_daily", "demand", "posting_count.range", "posting_count < 1"),
+# The expression behind each table.
+_CTE_OF = {
+    "silver_postings": "silver",
+    "silver_posting_tags": "tags",
+    "fct_postings": "fct",
+    "dim_company": "companies",
+    "dim_skill": "catalogue_skills",
+    "fct_skill_demand_daily": "demand",
+    "fct_remote_policy_daily": "remote_daily",
+    "fct_salary_mentions": "salaries",
+}
+
+
+def _quality(prefix: str = "", mismatches: tuple[int, int, int] = (0, 0, 0)) -> str:
+    """Failures of every rule over the tables' expressions, their names prefixed; ``mismatches`` of the three contracts."""
+    tables = ("silver_postings", "fct_postings", "fct_skill_demand_daily")
+    rules = [
+
+        *[_rule(t, "contract", f"SELECT {n}") for t, n in zip(tables, mismatches, strict=True)],
+        *_no_nulls("silver_postings", f"{prefix}silver", "source", "source_id", "title", "last_seen_at"),
+        _repeated("silver_postings", f"{prefix}silver", "source_id", "source = 'board_a'"),
+        _broken("silver_postings", f"{prefix}silver", "country_code.accepted", _UNKNOWN_COUNTRY),
+        *_no_nulls("silver_posting_tags", f"{prefix}tags", "source", "source_id", "tag"),
+        *_no_nulls("fct_postings", f"{prefix}fct", "posting_id", "title", "last_seen_at"),
+        _repeated("fct_postings", f"{prefix}fct", "posting_id"),
+        _broken("fct_postings", f"{prefix}fct", "country_code.accepted", _UNKNOWN_COUNTRY),
+        *_no_nulls("dim_company", f"{prefix}companies", "company_name"),
+        _repeated("dim_company", f"{prefix}companies", "company_name"),
+        _broken("dim_company", f"{prefix}companies", "posting_count.range", "posting_count < 1"),
+        *_no_nulls("dim_skill", f"{prefix}catalogue_skills", "skill", "alias"),
+        *_no_nulls("fct_skill_demand_daily", f"{prefix}demand", "posting_date", "skill", "posting_count"),
+        _broken("fct_skill_demand_daily", f"{prefix}demand", "posting_count.range", "posting_count < 1"),
         _broken(
-            "fct_skill_demand_daily", "demand", "posting_count.at_least.remote_posting_count",
+            "fct_skill_demand_daily", f"{prefix}demand", "posting_count.at_least.remote_posting_count",
             "posting_count < remote_posting_count",
         ),
-        *_no_nulls("fct_remote_policy_daily", "remote_daily", "posting_date", "country_code"),
-        _broken("fct_remote_policy_daily", "remote_daily", "remote_share.range", "remote_share NOT BETWEEN 0 AND 1"),
-        *_no_nulls("fct_salary_mentions", "salaries", "source_id"),
-        _broken("fct_salary_mentions", "salaries", "salary_eur.range", "salary_eur NOT BETWEEN 20000 AND 400000"),
+        *_no_nulls("fct_remote_policy_daily", f"{prefix}remote_daily", "posting_date", "country_code"),
+        _broken("fct_remote_policy_daily", f"{prefix}remote_daily", "remote_share.range", "remote_share NOT BETWEEN 0 AND 1"),
+        *_no_nulls("fct_salary_mentions", f"{prefix}salaries", "source_id"),
+        _broken("fct_salary_mentions", f"{prefix}salaries", "salary_eur.range", "salary_eur NOT BETWEEN 20000 AND 400000"),
     ]
-)
+    return " UNION ALL ".join(rules)
+
 
 _SERIES = """SELECT posting_date, skill, CAST(sum(posting_count) AS BIGINT) AS postings FROM demand"""
 _TOP_CELLS = """SELECT CAST(posting_date AS VARCHAR) AS posting_date, skill, country_code,
@@ -315,6 +340,28 @@ ORACLE = {
           CAST(0 AS BIGINT) AS unreadable_times"""),
     "s6_replay": _with("own", f"""
         SELECT * REPLACE (row_count * 2 AS row_count, typed_count * 2 AS typed_count) FROM ({_BRONZE_SUMMARY})"""),
+    "s6_replay_window": _with("own", """
+        SELECT '2024-01-31' AS ingest_date, '09' AS hour, j->>'source' AS source, j->>'source_id' AS source_id,
+          CAST(sum(times) AS BIGINT) AS row_count,
+          CAST(sum(CASE WHEN json_type(j->'typed') = 'OBJECT' THEN times ELSE 0 END) AS BIGINT) AS typed_count,
+          min(j->'source_payload'->>'url') AS url
+        FROM (SELECT j, CASE WHEN sent_at >= TIMESTAMP '2024-01-10' AND sent_at < TIMESTAMP '2024-01-13' THEN 2 ELSE 1 END AS times FROM own)
+        GROUP BY ALL"""),
+    "s4_published": _with("post", """
+        SELECT '2024-01-31' AS ingest_date, '09' AS hour, 'board_a' AS source, source_id, count(*) AS row_count,
+          count(*) FILTER (company_name IS NOT NULL AND title IS NOT NULL) AS typed_count, min(url) AS url FROM post GROUP BY ALL"""),
+    "s14_dropped": _with("log", """
+        SELECT ingest_date, row_count, CASE WHEN kept THEN row_count END AS kept_count, NOT kept AS dropped
+        FROM (SELECT strftime(ingested_at, '%Y-%m-%d') AS ingest_date, count(*) AS row_count,
+                bool_and(CAST(ingested_at AS DATE) >= DATE '2024-01-31' - 20) AS kept FROM log GROUP BY ALL)"""),
+    "q8_rerun_proof": _with("fct", """
+        SELECT 'rerun' AS step, CAST(0 AS BIGINT) AS parts, CAST(NULL AS VARCHAR) AS posting_id, CAST(NULL AS VARCHAR) AS title,
+          CAST(NULL AS VARCHAR) AS company_name, CAST(NULL AS BIGINT) AS only_in_a, CAST(NULL AS BIGINT) AS only_in_b
+        UNION ALL
+        SELECT 'changed', 1, posting_id, title, company_name, n, 0 FROM (SELECT *, count(*) AS n FROM fct WHERE posting_id = 'p7' GROUP BY ALL)
+        UNION ALL
+        SELECT 'changed', 1, posting_id, title, company_name, 0, n
+        FROM (SELECT * REPLACE ('Changed' AS title), count(*) AS n FROM fct WHERE posting_id = 'p7' GROUP BY ALL)"""),
     "s7_rederive": _with("own", """
         SELECT source_id, contract_error, count(*) AS row_count, count(*) FILTER (contract_error = 'none') AS typed_count
         FROM (SELECT j->>'source_id' AS source_id, coalesce(nullif(concat_ws(',',
@@ -468,6 +515,8 @@ ORACLE = {
     "g_bronze_report": _with("own", """
         SELECT 'bronze.ingested_at.readable' AS rule, count(*) FILTER (j->>'source_id' LIKE '%7') AS failed_rows,
           count(*) FILTER (j->>'source_id' LIKE '%7') = 0 AS passed FROM own"""),
+    "g_spoilt_report": _with(" ".join(f"spoilt_{cte}" for cte in _CTE_OF.values()), f"""
+        SELECT rule, n AS failed_rows, n = 0 AS passed FROM ({_quality("spoilt_", (13, 8, 1))})"""),
     "g_quality_report": _with("silver tags fct companies catalogue_skills demand remote_daily salaries", f"""
-        SELECT rule, n AS failed_rows, n = 0 AS passed FROM ({_QUALITY})"""),
+        SELECT rule, n AS failed_rows, n = 0 AS passed FROM ({_quality()})"""),
 }

@@ -27,7 +27,7 @@ from jobloom.functions.text import (
 )
 from jobloom.operators import gold, quality, scd
 from jobloom.operators.dedup import latest_per_key
-from jobloom.operators.diff import table_diff
+from jobloom.operators.diff import differing_parts, digests, located_changes, table_diff
 from jobloom.operators.postings import newest_first, posting_tags, silver_postings, staging
 from jobloom.plans import build as plans
 from jobloom.plans import serve
@@ -35,11 +35,11 @@ from jobloom.plans.build import changed_days
 from jobloom.plans.tables import build_daily, materialize, observe_run, rebuild_days
 from jobloom.schemas import POSTING_KEY
 from jobloom.session import shared_dir
-from jobloom.sources.bronze import expire_partitions, read_bronze, write_bronze
+from jobloom.sources.bronze import append_run, drop_expired, expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
-from jobloom.sources.pages import build_envelope, rederive, to_messages, unroll_pages
+from jobloom.sources.pages import build_envelope, publish, rederive, to_messages, unroll_pages
 from jobloom.sources.taxonomy import default_seed, read_seed
-from jobloom.streaming.drain import drain, drain_metrics
+from jobloom.streaming.drain import drain, drain_metrics, message_stream, replay_window
 from jobloom.streaming.upsert import compact_upserted, read_upserted, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,9 +193,8 @@ def s10_drain_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The counters of a drain beside what it wrote."""
     stream = adapters.messages(spark, event_stream(spark, sf)).select("value")
     root = shared_dir(spark, "bronze")
-    running = drain(stream, "board_a", root, shared_dir(spark, "drain"), WRITE_TIME)
-    running.awaitTermination()
-    seen = {k: v for k, v in drain_metrics(running).items() if k != "payload_bytes"}
+    drain(stream, "board_a", root, shared_dir(spark, "drain"), WRITE_TIME).awaitTermination()
+    seen = {k: v for k, v in drain_metrics(spark, root).items() if k != "payload_bytes"}
     return read_bronze(spark, root).agg(F.count(F.lit(1)).alias("written")).withColumns(
         {k: F.lit(v).cast("bigint") for k, v in seen.items()}
     )
@@ -211,6 +210,30 @@ def s6_replay(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_summary(read_bronze(spark, root))
 
 
+@query
+def s6_replay_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A topic drained as a whole, then three days of it replayed: the rows of those days are in bronze twice."""
+    root, topic = shared_dir(spark, "bronze"), shared_dir(spark, "topic")
+    sent = adapters.messages(spark, events(spark, sf)).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"), F.col("sent_at").cast("timestamp").alias("timestamp")
+    )
+    sent.write.parquet(topic)
+    drain(message_stream(spark, {"path": topic}, fmt="parquet"), "board_a", root, shared_dir(spark, "drain"), WRITE_TIME).awaitTermination()
+    since, until = (datetime(2024, 1, day, tzinfo=UTC) for day in (10, 13))
+    replay_window(spark, {"path": topic}, "board_a", root, since, until, "parquet", WRITE_TIME)
+    return bronze_summary(read_bronze(spark, root))
+
+
+@query
+def s4_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelopes published to a file topic and drained from it."""
+    root, topic = shared_dir(spark, "bronze"), shared_dir(spark, "topic")
+    publish(board_envelopes(spark, sf), {"path": topic}, fmt="parquet")
+    stream = message_stream(spark, {"path": topic}, fmt="parquet")
+    drain(stream, "board_a", root, shared_dir(spark, "drain"), WRITE_TIME).awaitTermination()
+    return bronze_summary(read_bronze(spark, root))
+
+
 def bronze_summary(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("ingest_date", "hour", "source", "source_id").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -265,6 +288,26 @@ def s14_retention(spark: SparkSession, sf: str) -> DataFrame:
     return expire_partitions(log, AS_OF, days=20).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def s14_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze folders of the days of the log, before and after those older than 20 days are removed."""
+    root = shared_dir(spark, "bronze")
+    messages = adapters.post_messages(spark, events(spark, sf))
+    for board in ("board_a", "board_b"):
+        kept = bronze_rows(parse_messages(messages.where(F.col("source") == board), board))
+        dated = kept.withColumns({"ingest_date": F.substring("ingested_at", 1, 10), "hour": F.lit("00")})
+        append_run(dated, root, board)
+    per_day = read_bronze(spark, root).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"))
+    path = shared_dir(spark, "counts")
+    per_day.write.parquet(path)
+    before = spark.read.schema(per_day.schema).parquet(path)
+    dropped = drop_expired(spark, root, AS_OF, days=20)
+    after = read_bronze(spark, root).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return before.join(after.select("ingest_date", F.col("row_count").alias("kept_count")), "ingest_date", "left").withColumn(
+        "dropped", F.col("ingest_date").isin(dropped)
+    )
+
+
 # --- projections and scalar functions ----------------------------------------
 
 
@@ -626,6 +669,27 @@ def u1_table_diff_all(spark: SparkSession, sf: str) -> DataFrame:
     return table_diff(returned, kept, all_rows=True)
 
 
+@query
+def q8_rerun_proof(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of two builds of the same postings, and of a third in which one posting has another title.
+
+    A row per step without a difference, and per differing row else, with the number of parts that differ.
+    """
+    build = lambda: gold.fct_postings(silver(spark, sf))
+    changed = build().withColumn("title", F.when(F.col("posting_id") == "p7", F.lit("Changed")).otherwise(F.col("title")))
+    before, key = build(), ["posting_id"]
+    stored = shared_dir(spark, "digests")
+    digests(before, key).write.parquet(stored)
+    first = spark.read.parquet(stored)
+    steps = []
+    for step, now in (("rerun", build()), ("changed", changed)):
+        parts = differing_parts(first, digests(now, key))
+        found = located_changes(before, now, parts, key).select("posting_id", "title", "company_name", "only_in_a", "only_in_b")
+        counted = parts.agg(F.count(F.lit(1)).alias("parts")).withColumn("step", F.lit(step))
+        steps.append(counted.join(found, F.col("parts") > 0, "left").select("step", "parts", *found.columns))
+    return steps[0].union(steps[1])
+
+
 @query
 def u2_blend(spark: SparkSession, sf: str) -> DataFrame:
     """Two boards as one table; the second has no city and country."""
@@ -650,6 +714,24 @@ def g_bronze_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check(bronze_rows(parsed).withColumn("ingested_at", spoilt), quality.bronze_rules(), "bronze.")
 
 
+@query
+def g_spoilt_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule over tables that break every one of them."""
+    current = silver(spark, sf)
+    sound = {
+        "silver_postings": current,
+        "silver_posting_tags": posting_tags(current),
+        "fct_postings": gold.fct_postings(current),
+        "dim_company": gold.dim_company(current),
+        "dim_skill": gold.dim_skill(spark.sql(adapters.CATALOGUE, part=table(spark, sf, "part"))),
+        "fct_skill_demand_daily": gold.skill_demand_of(current, skills(spark)),
+        "fct_remote_policy_daily": gold.remote_policy_daily(current),
+        "fct_salary_mentions": gold.salary_mentions(current),
+    }
+    spoilt = {name: spark.sql(adapters.SPOILT[name], t=df) for name, df in sound.items()}
+    return quality.quality_report(spoilt, quality.table_rules("board_a"))
+
+
 @query
 def g_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     """Every rule of every table, over tables built from the whole log."""

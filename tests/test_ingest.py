@@ -4,6 +4,7 @@ import json
 from datetime import UTC, date, datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -13,7 +14,8 @@ from jobloom.sources.bronze import expire_partitions, read_bronze, write_bronze
 from jobloom.sources.messages import bronze_rows, parse_messages
 from jobloom.sources.pages import build_envelope, kafka_sink_options, publish, rederive, to_messages, unroll_pages
 from jobloom.sources.taxonomy import SKILLS, default_seed, read_seed
-from jobloom.streaming.drain import drain, drain_metrics, message_stream
+from jobloom.streaming import drain as streaming
+from jobloom.streaming.drain import drain, drain_metrics, message_stream, read_metrics, replay_window, window_options
 
 NOW = datetime(2024, 1, 31, 9, 30, tzinfo=UTC)
 GOOD = {
@@ -203,30 +205,75 @@ def test_drain_takes_each_message_once(spark, tmp_path):
     publish(envelopes, {"path": source}, fmt="parquet")
 
     def run(at=checkpoint):
-        query = drain(message_stream(spark, {"path": source}, fmt="parquet", max_per_batch=1), "board", root, at, NOW)
-        query.awaitTermination()
-        return drain_metrics(query)
+        drain(message_stream(spark, {"path": source}, fmt="parquet", max_per_batch=1), "board", root, at, NOW).awaitTermination()
+        return drain_metrics(spark, root, at)
 
     assert run()["row_count"] == 2
-    assert run()["row_count"] == 0
+    assert run()["row_count"] == 2
     publish(envelopes.limit(1), {"path": source}, fmt="parquet")
-    assert run()["row_count"] == 1
+    assert run()["row_count"] == 3
     assert read_bronze(spark, root).count() == 3
     # A new checkpoint replays everything as further rows.
     assert run(str(tmp_path / "replay"))["row_count"] == 3
     assert read_bronze(spark, root).count() == 6
+    assert drain_metrics(spark, root)["row_count"] == 6
 
 
 def test_drain_skips_null_values_and_counts_bad_ones(spark, tmp_path):
     source, root, checkpoint = (str(tmp_path / n) for n in ("topic", "bronze", "checkpoint"))
     values = [(None, None), (None, b"bad"), (None, message().encode()), (None, message(source="other").encode())]
     spark.createDataFrame(values, "key binary, value binary").write.parquet(source)
-    query = drain(message_stream(spark, {"path": source}, fmt="parquet"), "board", root, checkpoint)
-    query.awaitTermination()
-    metrics = drain_metrics(query)
+    drain(message_stream(spark, {"path": source}, fmt="parquet"), "board", root, checkpoint).awaitTermination()
+    metrics = drain_metrics(spark, root)
     assert (metrics["row_count"], metrics["bad_messages"], metrics["other_source"]) == (1, 1, 1)
 
 
+@pytest.mark.parametrize("dying", ["append_run", "_record"])
+def test_counters_of_a_killed_drain_equal_those_of_one_run(spark, tmp_path, monkeypatch, dying):
+    topic = str(tmp_path / "topic")
+    for i in range(4):
+        values = [(None, message(source_id=f"{i}-{k}").encode()) for k in range(i + 1)] + [(None, b"bad"), (None, message(source="x").encode())]
+        spark.createDataFrame(values, "key binary, value binary").coalesce(1).write.mode("append").parquet(topic)
+    start = lambda name: drain(message_stream(spark, {"path": topic}, fmt="parquet", max_per_batch=1), "board", str(tmp_path / name), str(tmp_path / f"{name}-c"), NOW)
+    start("once").awaitTermination()
+    real, calls = getattr(streaming, dying), []
+
+    def dies_once(*args):
+        real(*args)
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(streaming, dying, dies_once)
+    with pytest.raises(StreamingQueryException):
+        start("killed").awaitTermination()
+    monkeypatch.undo()
+    start("killed").awaitTermination()
+    counted = [drain_metrics(spark, str(tmp_path / name)) for name in ("once", "killed")]
+    assert counted[0] == counted[1]
+    assert (counted[0]["row_count"], counted[0]["bad_messages"], counted[0]["other_source"]) == (10, 4, 4)
+    per_batch = [rows(read_metrics(spark, str(tmp_path / name)), "batch", "row_count") for name in ("once", "killed")]
+    assert per_batch[0] == per_batch[1] and len(per_batch[0]) == 4
+    assert read_bronze(spark, str(tmp_path / "killed")).count() == 10
+
+
+def test_a_window_of_a_topic_is_replayed(spark, tmp_path):
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "bronze")
+    at = lambda hour, minute=0: datetime(2024, 1, 1, hour, minute, tzinfo=UTC)
+    sent = [(None, message(source_id=f"h{h}").encode(), at(h)) for h in range(6)] + [(None, None, at(3)), (None, b"bad", at(3, 59))]
+    spark.createDataFrame(sent, "key binary, value binary, timestamp timestamp").write.parquet(topic)
+    replay = lambda **more: replay_window(spark, {"path": topic}, "board", root, at(2), at(4), "parquet", NOW, **more)
+    done = replay(run="one")
+    assert (done.row_count, done.bad_messages) == (2, 1)
+    assert rows(read_bronze(spark, root), "source_id") == [("h2",), ("h3",)]
+    replay(run="one")
+    assert read_bronze(spark, root).count() == 2
+    replay()
+    assert read_bronze(spark, root).count() == 4
+    assert replay_window(spark, {"path": topic}, "board", root, at(9), at(10), "parquet", NOW).skipped
+    assert window_options(at(2), at(4)) == {"startingTimestamp": "1704074400000", "endingTimestamp": "1704081600000", "startingOffsetsByTimestampStrategy": "latest"}
+
+
 # --- seed -------------------------------------------------------------------------
 
 

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import __spark_entry__ as driver
 from conftest import rows
 from jobloom.operators import quality as q
 from jobloom.schemas import BRONZE, FCT_POSTINGS, FCT_SKILL_DEMAND_DAILY
@@ -66,3 +69,11 @@ def test_gate_without_a_warehouse(spark):
 def test_unreadable_ingestion_times_are_counted(spark):
     df = spark.createDataFrame([("s", "a", t, "{}", None, "2024-01-01", "00") for t in ("2024-01-01T00:00:00Z", "soon", None)], BRONZE)
     assert report(df, *q.bronze_rules()) == {"ingested_at.readable": 2}
+
+
+def test_spoilt_tables_break_every_rule(spark):
+    folder = Path(driver.SMALLEST).with_name("sf0.01")
+    if not folder.exists():
+        pytest.skip("no test tables")
+    report = rows(driver.queries()["g_spoilt_report"](spark, str(folder)), "rule", "failed_rows")
+    assert len(report) == 32 and all(n > 0 for _, n in report), report

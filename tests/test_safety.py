@@ -28,11 +28,10 @@ def test_counters_cover_batches_that_recent_progress_forgets(spark, tmp_path):
             frame = spark.createDataFrame([*texts, ("no json",)], "value string").select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"))
             frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
         stream = message_stream(spark, {"path": str(tmp_path / "topic")}, fmt="parquet", max_per_batch=1)
-        query = drain(stream, "b", str(tmp_path / "bronze"), str(tmp_path / "checkpoint"))
-        query.awaitTermination()
+        drain(stream, "b", str(tmp_path / "bronze"), str(tmp_path / "checkpoint")).awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    seen = drain_metrics(query)
+    seen = drain_metrics(spark, str(tmp_path / "bronze"))
     assert (seen["row_count"], seen["bad_messages"], seen["unreadable_times"]) == (10, 5, 5)
 
 
@@ -42,6 +41,8 @@ def test_expired_days_are_dropped_and_no_others(spark, tmp_path):
     for day in (1, 20, 31):
         parsed = parse_messages(spark.createDataFrame([(value,)], "value string"), "b")
         write_bronze(parsed, root, datetime(2024, 1, day, tzinfo=UTC))
+    plan = expire_partitions(read_bronze(spark, root), date(2024, 1, 31), 11)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
     assert drop_expired(spark, root, date(2024, 1, 31), days=11) == ["2024-01-01"]
     kept = read_bronze(spark, root)
     assert rows(kept, "ingest_date") == rows(expire_partitions(kept, date(2024, 1, 31), 11), "ingest_date") == [("2024-01-20",), ("2024-01-31",)]
