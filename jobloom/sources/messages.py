@@ -24,7 +24,7 @@ def _json_text(member: str) -> Column:
     """
     text = F.col(f"_read.{member}")
     again = F.from_json("_text", f"{member} variant")[member]
-    is_object_text = opens_object(text) & (~quotes_a_brace(F.col("_text")) | names_object(again))
+    is_object_text = opens_object(text) & (~F.col("_quotes") | names_object(again))
     return F.when(is_object_text, text).otherwise(F.to_json(again))
 
 
@@ -35,8 +35,8 @@ def parse_messages(messages: DataFrame, source: str) -> DataFrame:
     and otherwise ignored.  Both keep their row so that they can be counted in
     the same pass.
     """
-    read = messages.select(F.col("value").cast("string").alias("_text")).withColumn(
-        "_read", read_object(F.col("_text"), dict.fromkeys(MEMBERS, "string"))
+    read = messages.select(F.col("value").cast("string").alias("_text")).withColumns(
+        {"_read": read_object(F.col("_text"), dict.fromkeys(MEMBERS, "string")), "_quotes": quotes_a_brace(F.col("_text"))}
     )
     judged = read.withColumn("_bad", ~is_object("_read"))
     good = lambda column: F.when(~F.col("_bad"), column)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobloom.functions.contract import validate_contract
-from jobloom.functions.json import names_object, one_value, opens_object, quotes_a_brace
+from jobloom.functions.json import names_object, opens_object, quotes_a_brace, read_object, with_settled
 
 # Delivery settings of the message sink.
 KAFKA_SINK = {
@@ -37,7 +37,8 @@ def unroll_pages(pages: DataFrame, max_pages: int | None = None, observe: Observ
     within = pages.where(F.col("page") >= 1)
     if max_pages is not None:
         within = within.where(F.col("page") <= max_pages)
-    data = F.when(one_value(F.col("payload")), F.from_json("payload", "data array<string>")["data"])
+    within = with_settled(within, {"_page": read_object(F.col("payload"), {"data": "array<string>"})})
+    data = F.col("_page.data")
     ending = within.where(F.coalesce(F.size(data), F.lit(0)) < 1)
     first_end = ending.agg(F.min("page")).scalar()
     # Only a page with a string that begins with a brace needs its items' JSON types.
