@@ -2,7 +2,8 @@
 
 Runs in Python workers.  A byte-level BPE splits text at fixed places before it merges, and a blank followed by a
 non-blank character is always such a place.  Texts are therefore cut there, pieces met before come from a table, and
-only new pieces go through the tokenizers library.  Ids equal those of encoding the whole text.
+only new pieces go through the tokenizers library.  Ids equal those of encoding the whole text.  The rare text that holds
+the string of a special token goes through the library whole.
 """
 
 from __future__ import annotations
@@ -26,20 +27,23 @@ def default_vocabulary() -> str:
 
 
 class PieceEncoder:
-    """Ids of texts under a byte-level BPE vocabulary of at most 65,536 ids; special tokens' strings are plain text."""
+    """Ids of texts under a byte-level BPE vocabulary of at most 65,536 ids.
 
-    def __init__(self, vocabulary: str, pieces_kept: int = PIECES_KEPT, words_kept: int = WORDS_KEPT):
+    The strings of special tokens become these tokens, as the library has it, or plain text with ``special_as_text``.
+    """
+
+    def __init__(self, vocabulary: str, pieces_kept: int = PIECES_KEPT, words_kept: int = WORDS_KEPT, special_as_text: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids have to fit 16 bits")
+        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if not special_as_text or not t.special}
         self.pieces_kept, self.words_kept = pieces_kept, words_kept
-        self.after_blank: dict[str, int] = {}  # pieces that follow a blank, keyed without it
+        self.after_blank: dict[str, bytes] = {}  # ids of pieces that follow a blank, keyed without it
         self.words: dict[str, bytes] = {}
-        self.flat, self.starts = bytearray(), array("q", [0])  # ids of the pieces, 2 bytes each; byte offsets
         self.odd_blank = re.compile(r" (?:\s|\Z)")
         self.cut = re.compile(r" (?=\S)")
         self.leading_word = regex.compile(r"(\p{L}+)(.*)", regex.DOTALL)
@@ -82,43 +86,27 @@ class PieceEncoder:
         return [self._encode(t) if t else np.empty(0, np.uint16) for t in texts]
 
     def _encode(self, text: str) -> np.ndarray:
+        if any(name in text for name in self.special):
+            return np.frombuffer(self._library(text), np.uint16)
         pieces = text.split(" ") if not self.odd_blank.search(text) else self.cut.split(text)
-        head, tail = pieces[0], pieces[1:]
-        rows = list(map(self.after_blank.get, tail))
-        fresh: dict[str, int] = {}
-        if None in rows:
-            for i, row in enumerate(rows):
-                if row is None:
-                    piece = tail[i]
-                    row = fresh.get(piece)
-                    if row is None:
-                        row = len(self.starts) - 1
-                        self.flat.extend(self._piece(piece))
-                        self.starts.append(len(self.flat))
-                        fresh[piece] = row
-                    rows[i] = row
-        first = np.frombuffer(self._library(head) if head else b"", np.uint16)
-        flat, starts = np.frombuffer(self.flat, np.uint16), np.frombuffer(self.starts, np.int64)
-        row = np.array(rows, np.int64)
-        begin = starts[row] >> 1
-        length = (starts[row + 1] >> 1) - begin
-        place = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        out = np.concatenate([first, flat[place]])
-        del flat, starts  # an array cannot grow while numpy looks at it
-        room = self.pieces_kept - len(self.after_blank)
-        if len(fresh) <= room:
-            self.after_blank.update(fresh)
-        elif fresh:
-            kept = min(fresh.values())  # no room: forget the new rows
-            del self.flat[self.starts[kept] :]
-            del self.starts[kept + 1 :]
-        return out
+        ids = list(map(self.after_blank.get, pieces))
+        ids[0] = self._library(pieces[0]) if pieces[0] else b""
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    piece = pieces[i]
+                    ids[i] = known = self.after_blank.get(piece) or self._piece(piece)
+                    if len(self.after_blank) < self.pieces_kept:
+                        self.after_blank[piece] = known
+        return np.frombuffer(b"".join(ids), np.uint16)
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id."""
         lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for name, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             lengths[i] = len(name)
+        for name, i in self.special.items():
+            lengths[i] = len(name.encode())
         return lengths
 
 

@@ -14,15 +14,14 @@ from jobloom.llm.tokens import PieceEncoder, default_vocabulary
 
 ODD = [
     "  a  b ", "\n \n x", "a\x1c b \x1c", "can't  we'll 'x  ", "é ü    a", "12 3a b_c  _ <|endoftext|> x", "😀 😀a a😀", " ", "\n", "a ",
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x <|endoftext|>", " <|endoftext|>y <|endoftex",
     "²³ ⅷ x²", "tab\tand nbsp   em", "漢字 漢字漢字", "don't'll 's", "x\u0085 y", "ab" * 5000,
 ]
 
 
 @pytest.fixture(scope="module")
 def library():
-    out = Tokenizer.from_file(default_vocabulary())
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(default_vocabulary())
 
 
 @pytest.mark.parametrize("kept", [(100_000, 100_000), (3, 2), (0, 0)])
@@ -33,6 +32,14 @@ def test_pieces_give_the_ids_of_whole_texts(library, kept):
     assert coder.encode([None])[0].tolist() == []
 
 
+def test_special_strings_as_text_on_demand():
+    plain = Tokenizer.from_file(default_vocabulary())
+    plain.encode_special_tokens = True
+    coder = PieceEncoder(default_vocabulary(), special_as_text=True)
+    assert [x.tolist() for x in coder.encode(ODD)] == [e.ids for e in plain.encode_batch(ODD, add_special_tokens=False)]
+    assert 50256 not in coder.encode(["a <|endoftext|> b"])[0] and 50256 in PieceEncoder(default_vocabulary()).encode(["a <|endoftext|> b"])[0]
+
+
 @pytest.mark.parametrize("n", [1, 5, 1023, 1024, 70_000])
 def test_blocks_round_trip(n):
     tokens = (np.random.default_rng(n).zipf(1.3, n) % 50_257).astype(np.uint16)
