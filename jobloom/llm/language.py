@@ -15,9 +15,12 @@ from pyspark.sql.window import Window
 from jobloom.llm.common import slices
 
 UNKNOWN = "und"
-_WORD = r"[^\W\d_]+"
+#: Runs of letters and combining marks are words if they have a letter.
+_RUN, _LETTER = r"[\p{L}\p{M}]+", r"\p{L}"
 #: Words longer than this are scored by n-grams alone, so one endless word costs no more than its length.
 _LONGEST = 40
+#: Places of a word whose n-grams are listed in one row.
+_STRETCH = 1000
 
 
 @dataclass
@@ -63,7 +66,8 @@ def fit(
 
     ``rows_per_language`` is the documented bound: of each language about that many rows are drawn by a hash of id and
     text, the same ones in every run.  Words and n-grams (1 to ``longest`` characters, word ends marked by a blank)
-    are counted on the cluster; the most frequent per language reach the driver, which bounds the model.  Rows with a
+    are counted on the cluster; the most frequent per language reach the driver, which bounds the model.  Words of over
+    40 letters are counted by their n-grams only.  Rows with a
     null text or label teach nothing; without any labelled row the model has no language.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(order_col).alias("id"))
@@ -75,22 +79,24 @@ def fit(
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, rows_per_language / seen[k]))])
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(draw < share[F.col("lang")])
-    units = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
+    units = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(_RUN), F.lit(0)), lambda w: w.rlike(_LETTER))
     words = sample.select("lang", F.explode(units).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    words = words.where(F.length("word") <= _LONGEST).persist()
+    words = words.persist()
     try:
-        padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+        padded = words.select("lang", "n", F.concat(F.lit(" "), F.col("word"), F.lit(" ")).alias("padded"))
+        starts = F.explode(F.sequence(F.lit(1), F.length("padded"), F.lit(_STRETCH)))
+        pieces = padded.withColumn("at", starts).select("lang", "n", F.expr(f"substring(padded, at, {_STRETCH + longest - 1})").alias("piece"))
+        last = lambda n: F.least(F.length("piece") - n + 1, F.lit(_STRETCH))
         spans = F.flatten(
             F.transform(
-                F.sequence(F.lit(1), F.lit(longest)),
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))), lambda i: F.substring(padded, i, n)
-                ),
+                F.filter(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.length("piece") >= n),
+                lambda n: F.transform(F.sequence(F.lit(1), last(n)), lambda i: F.substring(F.col("piece"), i, n)),
             )
         )
-        grams = words.select("lang", F.explode(spans).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        grams = pieces.select("lang", F.explode(spans).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
-        word_counts = _most_frequent(words.where(F.col("n") >= 2), "word", [], words_per_language, languages)
+        kept = words.where((F.col("n") >= 2) & (F.length("word") <= _LONGEST))
+        word_counts = _most_frequent(kept, "word", [], words_per_language, languages)
         gram_counts = _most_frequent(grams, "gram", [F.length("gram")], grams_per_language, languages)
         totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     finally:
@@ -133,16 +139,19 @@ class Scorer:
     """Predicts texts under a model; scores of words met before are kept, up to ``kept`` of them."""
 
     def __init__(self, model: Model, kept: int = 150_000):
-        import re
+        import regex
 
         self.model, self.kept = model, kept
-        self.find = re.compile(_WORD).findall
+        self.find = regex.compile(_RUN).findall
         self.scores: dict[str, tuple[float, ...]] = {}
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share, in [0, 1], of the geometric mean likelihood per word; ``und`` without a letter."""
         model = self.model
-        words = Counter(self.find(text.lower())) if text else None
+        words = Counter(self.find(text.lower())) if text else {}
+        bare = [w for w in words if not (w.isalpha() or any(map(str.isalpha, w)))]
+        for word in bare:  # marks without a letter
+            del words[word]
         if not words or not model.languages:
             return UNKNOWN, 0.0
         total = [0.0] * len(model.languages)
@@ -177,7 +186,8 @@ def _predictions(model: Model, place: int | None):
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """``row`` (the columns ``keep`` of ``docs``, all by default, as a struct), ``lang_pred`` and ``score``.
 
-    Whole texts are read, nothing else of the row.  Null, empty and letterless texts are ``und`` with score 0; equal
+    Whole texts are read, nothing else of the row.  Null, empty and letterless texts are ``und`` with score 0, also those of
+    digits, fractions and combining marks; equal
     scores go to the language that sorts first.  ``score`` compares the mean likelihood per word, so a long text is
     not sure just because it is long.  Rows keep their number; an empty table gives an empty result.
     """

@@ -5,8 +5,11 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import math
 import random
 import re
+import unicodedata
+from collections import Counter
 from fractions import Fraction
 
 import pytest
@@ -130,6 +133,50 @@ def test_words_then_ngrams_decide(spark):
     assert kept.select("row.doc_id", "lang_pred").count() == len(asked)
 
 
+def plain_words(text):
+    runs = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower()).split()
+    return [w for w in runs if any(unicodedata.category(c)[0] == "L" for c in w)]
+
+
+def plain_model(rows, longest=5, smoothing=0.5):
+    languages = sorted({lang for _, _, lang in rows})
+    words, grams = ({k: Counter() for k in languages} for _ in range(2))
+    for _, text, lang in rows:
+        for w in plain_words(text):
+            words[lang][w] += 1
+            padded = f" {w} "
+            grams[lang].update(padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1))
+
+    def logs(tables, totals):
+        keys = {k for t in tables for k in t}
+        return {k: tuple(math.log(t[k] + smoothing) - math.log(n + smoothing * (len(keys) + 1)) for t, n in zip(tables, totals, strict=True)) for k in keys}
+
+    often = [Counter({w: n for w, n in words[k].items() if n >= 2 and len(w) <= 40}) for k in languages]
+    by_size = {n: [Counter({g: c for g, c in grams[k].items() if len(g) == n}) for k in languages] for n in range(1, longest + 1)}
+    return languages, logs(often, [words[k].total() for k in languages]), {n: logs(t, [x.total() for x in t]) for n, t in by_size.items()}
+
+
+def test_fit_and_prediction_equal_plain_recomputation(spark):
+    long = "".join(random.Random(1).choice("abcdeßü") for _ in range(2345))
+    odd = [(70, f"{long} x", "aa"), (71, "e\u0301te\u0301 \u0301\u0301 ½ été", "bb"), (72, "हिन्दी हिन्दी", "bb"), (73, "a" * 41 + " " + "a" * 41, "aa"), (74, "x² 3rd", "aa")]
+    rows = [(i, said(lang, i, 20), lang) for i in range(12) for lang in ("aa", "bb")] + odd
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    languages, words, grams = plain_model(rows)
+    near = lambda a, b: a.keys() == b.keys() and all(x == pytest.approx(y) for k in a for x, y in zip(a[k], b[k], strict=True))
+    assert model.languages == languages and near(model.words, words)
+    assert all(near(model.grams[n], grams[n]) for n in grams)
+    scorer = language.Scorer(model)
+    for text in ["½ ²", "12 ⅷ́", "\u0301", "", None, "१२"]:
+        assert scorer.predict(text) == ("und", 0.0)
+    for text in ["ete\u0301 e\u0301te\u0301", "हिन्दी", "the woodrivering", f"{long[:400]}q", "brückschlung und"]:
+        found = Counter(plain_words(text))
+        totals = [sum(n * language.word_score(w, model)[i] for w, n in found.items()) for i in range(2)]
+        best = max(range(2), key=lambda i: (totals[i], -i))
+        share = 1 / sum(math.exp((t - totals[best]) / found.total()) for t in totals)
+        assert scorer.predict(text) == (languages[best], pytest.approx(share))
+    assert scorer.scores.keys() >= {"e\u0301te\u0301"} or "e\u0301te\u0301" in model.words
+
+
 def test_backoff_takes_the_longest_known_piece():
     model = language.Model(["a", "b"], [0, 0], {"known": (-1.0, -9.0)}, {1: {x: (-4.0, -4.0) for x in " ab"}, 2: {"ab": (-5.0, -1.0)}}, (-7.0, -7.0), 2)
     assert language.word_score("known", model) == (-1.0, -9.0)
