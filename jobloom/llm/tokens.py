@@ -66,6 +66,8 @@ class PieceEncoder:
         return known
 
     def _piece(self, piece: str) -> bytes:
+        if piece.isalpha():
+            return self._word(piece)
         found = self.leading_word.match(piece)
         if not found:
             return self._library(" " + piece)
