@@ -36,8 +36,12 @@ class Model:
 
 
 def _logs(counts: dict[str, list[int]], totals: list[int], smoothing: float) -> dict[str, tuple[float, ...]]:
+    """Log frequencies per key; keys with equal counts share one tuple, here and in every task's copy."""
     bottoms = [math.log(t + smoothing * (len(counts) + 1)) for t in totals]
-    return {key: tuple(math.log(c + smoothing) - b for c, b in zip(row, bottoms, strict=True)) for key, row in counts.items()}
+    made: dict[tuple[int, ...], tuple[float, ...]] = {}
+    for row in set(map(tuple, counts.values())):
+        made[row] = tuple(math.log(c + smoothing) - b for c, b in zip(row, bottoms, strict=True))
+    return {key: made[tuple(row)] for key, row in counts.items()}
 
 
 def _most_frequent(counted: DataFrame, key: str, classes: list, limit: int, languages: list[str]) -> dict[str, list[int]]:

@@ -16,8 +16,8 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Pieces and words kept per worker; beyond it they are encoded each time they occur.
-PIECES_KEPT = 300_000
-WORDS_KEPT = 500_000
+PIECES_KEPT = 150_000
+WORDS_KEPT = 250_000
 
 
 def default_vocabulary() -> str:
