@@ -357,6 +357,6 @@ def test_queries_and_sql_names():
 
     from jobloom.llm.queries import ORACLE, QUERIES
 
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert driver.queries().keys() >= {*QUERIES, "pipeline"} and driver.oracle_sql().keys() >= ORACLE.keys()
     assert json.dumps(sorted(ORACLE))
