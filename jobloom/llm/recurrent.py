@@ -26,7 +26,7 @@ class Shape:
 
     hidden: int = 16
     classes: int = 32
-    members: int = 128
+    members: int = 96
 
     @property
     def symbols(self) -> int:

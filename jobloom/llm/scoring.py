@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from jobloom.llm import recurrent
 from jobloom.llm.common import setting, slices, written
 
 #: Most words whose counts every task holds, and their greatest length in bytes; others are joined.
-HEAD, HEAD_BYTES = 65_536, 256
+HEAD, HEAD_BYTES = 131_072, 256
 _FLUSH = 300_000
 _SCORED_AT_ONCE = 4 << 20
 _BLOCK = 1 << 14
@@ -120,12 +121,13 @@ def _encoded(v: Vocabulary):
             out = {name: [] for name in ("n_tokens", "n_known", "smoothed", "rare", "n_rare", "symbols", "tail", "times")}
             for text in batch.column(3).to_pylist():
                 words = text.lower().split() if text else []
-                at = np.array([place(w, -1) for w in words], np.int64)
-                rare = (at >= v.known) | (at < 0)
-                tail = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
+                at = np.fromiter(map(place, words, repeat(-1)), np.int64, len(words))
+                joined = at < 0
+                rare = (at >= v.known) | joined
+                tail = Counter(compress(words, joined.tolist()))
                 known = smoothed[at]
                 out["n_tokens"].append(len(words) + 1)
-                out["n_known"].append(int((at >= 0).sum()) + (v.ends > 0))
+                out["n_known"].append(len(words) - int(joined.sum()) + (v.ends > 0))
                 out["smoothed"].append(float(known.sum()) + end)
                 out["rare"].append(float(known[rare].sum()))
                 out["n_rare"].append(int(rare.sum()))
