@@ -10,6 +10,8 @@ distance and with moved passages, not only with what words occur.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -127,32 +129,73 @@ def with_next(
 ) -> DataFrame:
     """Adds ``next_<c>`` for each of ``columns``: that of the next row by descending id, the first row's after the last.
 
-    Null ids come last, equal ids in descending order of ``tie_col``.  A global order without a global sort: rows go to
-    ranges of the id; inside a range the next row is the following one, and a copy of the first row of the next range
-    stands behind each range's last.  Ranges come from approximate quantiles.  The driver sees one bound and one
-    (id, tie) per range.  ``narrow`` may give the same ids and ties without costly columns.  One id has to fit a task.
+    Null ids come last, equal ids in descending order of ``tie_col``, a hash of what tells rows of one id apart.  A
+    global order without a global sort: rows go to ranges, inside a range the next row is the following one, and a copy
+    of the first row of the next range stands behind each range's last.  Ranges come from approximate quantiles of the
+    id; an id that fills several of them, and null ids, are cut into as many ranges of the tie.  Rows that equal each
+    other in id and tie and would fill a range alone go through the order as one row with a count: each of them but one
+    is followed by its equal.  The driver sees one bound and one (id, tie) per range.  ``narrow`` may give the same ids
+    and ties without costly columns.
     """
     spark = docs.sparkSession
     narrow = (docs if narrow is None else narrow).select(id_col, tie_col)
     cuts = [i / parts for i in range(1, parts)]
-    found = narrow.agg(F.percentile_approx(id_col, cuts, 20 * parts)).first()[0] if cuts else None
-    bounds = sorted(set(found or []))
+    quantiles = F.percentile_approx(id_col, cuts, 20 * parts) if cuts else F.lit(None)
+    found, n, with_id = narrow.agg(quantiles, F.count("*"), F.count(id_col)).first()
+    times = Counter(found or [])
+    bounds = sorted(times)
+    # Into how many ranges of the tie an id goes; 0: it shares a range with the ids below it.
+    split = [times[b] + 1 if times[b] > 1 else 0 for b in bounds]
+    split_null = -(-(n - with_id) * parts // max(1, n))
     known = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(bounds).bit_length())))])
-    # Binary search for the number of bounds below the id; null ids have a range of their own.
+    # Binary search for the number of bounds below the id; null ids have ranges of their own.
     below = F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.try_element_at(known, p + s) < F.col(id_col), p + s).otherwise(p))
-    part = F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(below)
+    part = F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(below).cast("long")
+    hot = any(split) or split_null > 1
+    if hot:
+        is_bound = F.try_element_at(known, below + 1) == F.col(id_col)
+        ties = F.when(F.col(id_col).isNull(), F.lit(split_null)).when(
+            is_bound, F.try_element_at(F.array(*[F.lit(x) for x in split or [0]]), below + 1)
+        )
+        # The tie's upper 32 bits, moved to start at zero, as a place among so many ranges; they begin at 1.
+        tie_range = F.shiftright((F.shiftright(tie_col, 32) + F.lit(1 << 31)) * ties, 32) + 1
+        in_id = F.coalesce(F.when(ties > 0, tie_range), F.lit(0))
+        part = part * (parts + 2) + in_id
+    heavy = None
+    if hot:
+        often = narrow.where(in_id > 0).groupBy(id_col, tie_col).agg(F.count("*").alias("n")).where(F.col("n") > max(1, n // parts))
+        listed = [tuple(r) for r in often.collect()]  # at most one per range
+        if listed:
+            heavy = F.broadcast(spark.createDataFrame(listed, "o_id long, o_tie long, o_copies long"))
+    rows = docs
+    if heavy is not None:
+        alike_ = docs[id_col].eqNullSafe(heavy["o_id"]) & docs[tie_col].eqNullSafe(heavy["o_tie"])
+        rest = [c for c in docs.columns if c not in (id_col, tie_col)]
+        one = docs.join(heavy, alike_).groupBy(id_col, tie_col).agg(*[F.first(c).alias(c) for c in rest], F.max("o_copies").alias("o_copies"))
+        rows = docs.join(heavy, alike_, "left_anti").withColumn("o_copies", F.lit(1).cast("long")).unionByName(one)
     heads = narrow.select(part.alias("part"), F.struct(id_col, tie_col).alias("head")).groupBy("part").agg(F.max("head").alias("head"))
     firsts = [(r.part, r["head"][0], r["head"][1]) for r in heads.collect()]
     firsts.sort(reverse=True)
     guards = [(here[0], after[1], after[2]) for here, after in zip(firsts, firsts[1:] + firsts[:1], strict=True)]
-    guards = F.broadcast(spark.createDataFrame(guards, "o_part int, o_id long, o_tie long"))
-    rows = docs.withColumns({"o_part": part, "o_guard": F.lit(False)})
-    copies = docs.join(guards, docs[id_col].eqNullSafe(guards["o_id"]) & docs[tie_col].eqNullSafe(guards["o_tie"]))
-    copies = copies.select(*docs.columns, "o_part", F.lit(True).alias("o_guard"))
+    guards = F.broadcast(spark.createDataFrame(guards, "o_part long, o_id long, o_tie long"))
+    copies = rows.join(guards, rows[id_col].eqNullSafe(guards["o_id"]) & rows[tie_col].eqNullSafe(guards["o_tie"]))
+    copies = copies.select(*rows.columns, "o_part", F.lit(True).alias("o_guard"))
     order = Window.partitionBy("o_part").orderBy("o_guard", F.col(id_col).desc_nulls_last(), F.col(tie_col).desc_nulls_last())
-    both = rows.unionByName(copies).withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return both.where(~F.col("o_guard")).drop("o_part", "o_guard")
+    both = rows.withColumns({"o_part": part, "o_guard": F.lit(False)}).unionByName(copies)
+    both = both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
+    out = both.where(~F.col("o_guard")).drop("o_part", "o_guard")
+    if heavy is None:
+        return out
+    # Equal rows come back in chunks of a thousand, which are spread over the tasks.
+    chunks = out.where("o_copies > 1").withColumn("o_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("o_copies") - 1) / 1000))))
+    chunks = chunks.repartition(parts, id_col, tie_col, "o_chunk")
+    begin = F.col("o_chunk") * 1000
+    copy = F.explode(F.sequence(begin, F.least(begin + 1000, F.col("o_copies")) - 1))
+    equal = chunks.withColumn("o_copy", copy).withColumns(
+        {f"next_{c}": F.when(F.col("o_copy") > 0, F.col(c)).otherwise(F.col(f"next_{c}")) for c in columns}
+    )
+    return out.where("o_copies = 1").drop("o_copies").unionByName(equal.drop("o_copies", "o_chunk", "o_copy"))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -169,7 +212,7 @@ def fingerprint_edits(
     Returns ``doc_id``, ``text``, ``edited``, ``signature``, ``edited_signature``, ``near_edited`` (likeness of text and
     edited text) and ``near_next`` (of text and next document's text).  Null texts count as empty.  Ids are integers or
     null; rows stay rows.  A single row is its own next one.  Other columns are not read.  An empty table gives an
-    empty result.  Texts are shuffled once.
+    empty result.  Texts are shuffled once.  An id, or null, may hold any share of the rows, and so may one text under it.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -235,8 +235,8 @@ def test_no_items_or_no_documents(spark):
 # --- Order MinHash ----------------------------------------------------------------------
 
 
-def signatures(spark, *texts):
-    df = orderhash.with_signature(spark.createDataFrame(list(enumerate(texts)), "n int, text string"), "text", "s")
+def signatures(spark, *texts, filled=False):
+    df = orderhash.with_signature(spark.createDataFrame(list(enumerate(texts)), "n int, text string"), "text", "s", filled=filled)
     return [r.s for r in df.orderBy("n").collect()]
 
 
@@ -256,24 +256,31 @@ def test_signatures_follow_edits_and_order(spark):
     assert s[10] != s[0]  # occurrences are numbered
 
 
-def test_signature_equals_a_plain_one(spark):
+@pytest.mark.parametrize("filled", [False, True])
+@pytest.mark.parametrize(("n_words", "kinds"), [(300, 4), (9, 9), (60, 30), (3, 2), (2, 1)])
+def test_signature_equals_a_plain_one(spark, filled, n_words, kinds):
     """Cells hold the hash of their least numbered k-mers in text order, by a plain computation on Spark's own hash."""
-    text = " ".join(random.Random(3).choice(["a", "b", "cc", "ddd"]) for _ in range(300))
+    text = " ".join(random.Random(n_words).choice(["a", "b", "cc", "ddd", *(f"w{i}" for i in range(26))][:kinds]) for _ in range(n_words))
     hashed = lambda *v: spark.range(1).select(F.xxhash64(*[F.lit(x) for x in v])).first()[0]
     said_ = text.split()
     seen, pairs, memo = {}, [], {}
     for i in range(len(said_) - 1):
         gram = tuple(said_[i : i + 2])
-        memo.setdefault(gram, (hashed(*gram) % 2**64) >> 31)
+        if gram not in memo:
+            memo[gram] = (hashed(*gram) % 2**64) >> 31
         seen[gram] = seen.get(gram, 0) + 1
         pairs.append((memo[gram], seen[gram] - 1, i))
     values = spark.createDataFrame(pairs, "h long, n int, i int").select(F.xxhash64("h", "n"), "i").collect()
     numbered = sorted(((v % 2**64) >> 31, i) for v, i in values)
-    want = []
+    chosen = []
     for c in range(orderhash.CELLS):
-        least = sorted((i, g) for g, i in [x for x in numbered if x[0] >> 27 == c][:2])
-        want.append(spark.range(1).select(F.xxhash64(F.array(*[F.lit(g).cast("long") for _, g in least]))).first()[0] & 0xFFFF if least else None)
-    assert signatures(spark, text)[0] == want
+        at = [p for p, x in enumerate(numbered) if x[0] >> 27 == c]
+        if filled and at:  # what follows in hash order, going round
+            at = [(at[0] + d) % len(numbered) for d in range(min(2, len(numbered)))]
+        chosen.append([g for _, g in sorted((numbered[p][1], numbered[p][0]) for p in at[:2])])
+    hashes = spark.createDataFrame(list(enumerate(chosen)), "c int, g array<long>").select("c", F.xxhash64("g").alias("h")).collect()
+    of_cell = {r.c: r.h & 0xFFFF for r in hashes}
+    assert signatures(spark, text, filled=filled)[0] == [of_cell[c] if g else None for c, g in enumerate(chosen)]
 
 
 @pytest.mark.parametrize("parts", [1, 3, 40])
@@ -293,6 +300,22 @@ def test_next_document_is_the_one_below(spark, parts):
         assert by_id[d].near_edited == pytest.approx(alike(by_id[d].signature, by_id[d].edited_signature))
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_one_id_and_one_text_may_hold_most_rows(spark, parts):
+    """Null ids, an id with many texts, and thousands of equal rows: the chain of next rows equals a plain sort's."""
+    rows = [(i, words(i, 5)) for i in range(60)] + [(None, words(900 + i, 4)) for i in range(50)] + [(30, words(2000 + i, 4)) for i in range(70)]
+    rows += [(31, "said again and again")] * 2300 + [(None, None)] * 90 + [(30, "")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = {(r.doc_id, r.text): r.tie for r in docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")).distinct().collect()}
+    order = sorted(((d, t or "") for d, t in rows), key=lambda x: (x[0] is None, -(x[0] or 0), -hashed[x]))
+    want = []
+    for i, (d, t) in enumerate(order):
+        after, half = order[(i + 1) % len(order)][1], len(t) // 2
+        want.append((d, t, t[: len(t) - half] + after[:half]))
+    got = orderhash.fingerprint_edits(docs, parts=parts)
+    assert sorted(((r.doc_id, r.text, r.edited) for r in got.collect()), key=key) == sorted(want, key=key)
+
+
 def test_no_documents_and_one(spark):
     assert orderhash.fingerprint_edits(empty(spark), parts=3).count() == 0
     [r] = orderhash.fingerprint_edits(awkward(spark).where("doc_id = 1"), parts=2).collect()
