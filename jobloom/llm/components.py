@@ -29,24 +29,21 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return own.union(rest).distinct()
 
 
-def components(pairs: DataFrame, left: str = "a", right: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(pairs: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(``node``, ``component``) for each node of ``pairs``; the component is its least node.
 
-    Pairs of a node with itself and pairs with a null are ignored.  Each round is written to the shared folder, so no
-    lineage grows; only a count and a sum of hashes reach the driver.
+    Pairs of a node with itself and pairs with a null are ignored.  Rounds go on until the pairs no longer change: each
+    round ties nodes to smaller ones only, so they settle, after a few rounds even for long chains.  Each round is
+    written to the shared folder, so no lineage grows; only a count and a sum of hashes reach the driver.
     """
     a, b = F.col(left), F.col(right)
     now = written(
         pairs.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "components"
     )
-    mark = _mark(now)
-    for _ in range(most_rounds):
+    before, mark = None, _mark(now)
+    while mark != before:
         now = written(_small_star(_large_star(now)), "components")
         before, mark = mark, _mark(now)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     members = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     heads = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return members.union(heads)

@@ -77,13 +77,14 @@ def _ball(radius: int, passes: int, this: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = ball_masks(radius)
+        kind = np.uint16 if buckets <= 1 << 16 else np.uint32  # small ones sort faster
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for lo in range(0, len(fps), 1024):
                 values = (fps[lo : lo + 1024, None] ^ masks[None, :]).ravel()
                 spread = (values * _MIX) >> np.uint64(34)
                 mine = np.flatnonzero(spread % np.uint64(passes) == np.uint64(this))
-                bucket = ((spread[mine] // np.uint64(passes)) % np.uint64(buckets)).astype(np.uint16)
+                bucket = ((spread[mine] // np.uint64(passes)) % np.uint64(buckets)).astype(kind)
                 order = np.argsort(bucket, kind="stable")
                 bucket, mine = bucket[order], mine[order]
                 values, which = values[mine], (mine % len(masks)).astype(np.uint16)
@@ -161,11 +162,12 @@ def links(distinct: DataFrame, n: int, *, radius: int = 2, passes: int = 8) -> D
     """Pairs (a, b) that connect all fingerprints of ``distinct`` (column ``fp``) at most ``2 * radius`` bits apart.
 
     The values are worked off in ``passes`` parts of equal size, each a job of its own, so that the shuffle files on
-    disk at one time are a fixed share of all.  ``n`` (the number of rows) sets how many buckets a part has.
+    disk at one time are a fixed share of all.  ``n`` (the number of rows) sets how many buckets a part has, so a task
+    gets about a million values at any size.
     """
     spark = distinct.sparkSession
     per_pass = n * len(ball_masks(radius)) // passes
-    parts = max(1, min(16_384, per_pass // 1_000_000), int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    parts = max(1, per_pass // 1_000_000, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     out = None
     for this in range(passes):
         packed = distinct.select("fp").mapInArrow(_ball(radius, passes, this, 4 * parts), "bucket int, values binary, which binary")

@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import awkward, empty, key, texts_of, words
@@ -108,6 +109,23 @@ def test_one_document_of_each_class_stays(spark):
     assert by_class.keys() == {r.component_id for r in found}
 
 
+@pytest.mark.parametrize("buckets", [8, 100_000])
+def test_all_values_go_to_one_bucket_each(buckets):
+    fps = np.array([0, 1, 2**63, 12345], np.uint64)
+    masks, placed, seen = simhash.ball_masks(2), {}, []
+    for this in range(3):
+        for out in simhash._ball(2, 3, this, buckets)(iter([pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64))], names=["fp"])])):
+            for bucket, values, which in zip(*(c.to_pylist() for c in out.columns)):
+                values, which = np.frombuffer(values, np.uint64), np.frombuffer(which, np.uint16)
+                assert 0 <= bucket < buckets
+                for v, w in zip(values.tolist(), which.tolist()):
+                    assert placed.setdefault(v, (this, bucket)) == (this, bucket)
+                    seen.append((v, v ^ int(masks[w])))
+    want = [(f ^ int(m), f) for f in fps.tolist() for m in masks]
+    assert sorted(seen) == sorted(want)
+    assert buckets == 8 or max(b for _, b in placed.values()) >= 1 << 16
+
+
 def test_no_documents(spark):
     assert simhash.near_duplicates(empty(spark), passes=1).count() == 0
 
