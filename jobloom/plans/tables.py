@@ -7,7 +7,8 @@ is what makes a finished build visible.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from jobloom.operators.scd import scd2_changes, snapshot_input
 from jobloom.schemas import POSTING_KEY, SNAPSHOT
-from jobloom.session import setting
+from jobloom.session import setting, shared_dir
 
-VERSION, PREVIOUS, RUN = "jobloom.version", "jobloom.previous", "jobloom.run"
+VERSION, PREVIOUS, RUN, SPAN = "jobloom.version", "jobloom.previous", "jobloom.run", "jobloom.span"
 OPEN, CLOSED = "open", "closed"
 
 
@@ -62,14 +63,16 @@ def write_version(
     return version
 
 
-def publish(spark: SparkSession, name: str, version: str, columns: Sequence[str] | None = None) -> DataFrame:
+def publish(
+    spark: SparkSession, name: str, version: str, columns: Sequence[str] | None = None, properties: Mapping[str, str] | None = None
+) -> DataFrame:
     """Action: the view ``name`` shows ``version`` from now on, in the order of ``columns``.
 
     The version before stays for readers that have begun; older ones, and those of builds that died, are dropped.
     """
     before = version_of(spark, name)
     shown = ", ".join(f"`{c}`" for c in columns or spark.table(version).columns)
-    properties = {VERSION: version} | ({PREVIOUS: before} if before else {})
+    properties = {**(properties or {}), VERSION: version} | ({PREVIOUS: before} if before else {})
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT {shown} FROM {version}")
     database, _, short = name.rpartition(".")
@@ -164,13 +167,54 @@ def observe_run(silver: DataFrame, name: str, run_ts: datetime, buckets: int | N
 
 # --- daily tables -------------------------------------------------------------------
 
-_BUILD = "_build"
+_BUILD, _SPAN, _FOLDER = "_build", "_span", "_folder"
+#: A table of more days than this gets a folder per span of equally many days.
+MOST_FOLDERS = 1_000
+_WIDTHS = [4**k for k in range(1, 14)]
+
+
+def _folder_of(at: str | Column, width: int | None) -> Column:
+    """The folder of a day: the day itself, or the number of its span."""
+    at = F.col(at) if isinstance(at, str) else at
+    return at if width is None else F.floor(F.unix_date(at.cast("date")) / width)
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Action: rows computed once, in the cluster's shared folder."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _span_width(rows: DataFrame, day: str) -> int | None:
+    """Action: days per folder, the least width that needs at most ``MOST_FOLDERS``; None for a folder per day."""
+    days = rows.select(day).distinct()
+    counted = [F.count_distinct(_folder_of(day, w)).alias(f"w{w}") for w in _WIDTHS]
+    found = days.agg(F.count(F.lit(1)).alias("n"), *counted).first()
+    if found.n <= MOST_FOLDERS:
+        return None
+    return next((w for w in _WIDTHS if found[f"w{w}"] <= MOST_FOLDERS), _WIDTHS[-1])
+
+
+@contextmanager
+def _many_folders(spark: SparkSession) -> Iterator[None]:
+    """A folder costs the same however few rows it has, so small shuffle partitions are not joined to one writing task."""
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        yield
 
 
 def build_daily(df: DataFrame, name: str, day: str) -> DataFrame:
-    """Action: the whole table ``name``, a folder per ``day``."""
-    marked = df.withColumn(_BUILD, F.lit(uuid.uuid4().hex))
-    return publish(df.sparkSession, name, write_version(marked, name, partition_by=[day]), df.columns)
+    """Action: the whole table ``name``, a folder per ``day``, or per span of days when there are very many.
+
+    The rows are computed once, and their days counted before folders are made of them.
+    """
+    spark = df.sparkSession
+    marked = _stored(df.withColumn(_BUILD, F.lit(uuid.uuid4().hex)), "daily")
+    width = _span_width(marked, day)
+    folder = day if width is None else _SPAN
+    with _many_folders(spark):
+        version = write_version(marked.withColumn(folder, _folder_of(day, width)), name, partition_by=[folder])
+    return publish(spark, name, version, df.columns, None if width is None else {SPAN: str(width)})
 
 
 def rebuild_days(
@@ -178,20 +222,26 @@ def rebuild_days(
 ) -> DataFrame:
     """Action: the folders of ``days`` (one column, ``day``) of the daily table ``name``, computed anew.
 
-    ``compute`` makes the table's rows of a day from the rows of ``source`` on that day by ``at``.  Only those rows are
-    read on, and only those folders are written; a day that has lost all its rows loses its folder.  Repeating the
-    call gives the same rows.
+    ``compute`` makes the table's rows of a day from the rows of ``source`` on that day by ``at``.  Only the rows of those
+    folders are read on, and only those folders are written; a folder that has lost all its rows goes.  Repeating the
+    call gives the same rows.  A table that outgrows a folder per day is built whole, in spans, once.
     """
     spark, stored = source.sparkSession, version_of(source.sparkSession, name)
-    days = days.select(F.col(day).alias("_day"))
-    mine = source.withColumn("_on", at).join(days, F.col("_on").eqNullSafe(F.col("_day")), "left_semi").drop("_on")
+    span = _property(spark, name, SPAN)
+    width, folder = (None, day) if span is None else (int(span), _SPAN)
+    folders = _stored(days.select(_folder_of(day, width).alias(_FOLDER)).distinct(), "days")
+    if width is None:
+        there = spark.table(stored).select(F.col(day).alias(_FOLDER))
+        if there.union(folders).distinct().count() > MOST_FOLDERS:
+            return build_daily(compute(source), name, day)
+    mine = source.withColumn("_on", _folder_of(at, width)).join(folders, F.col("_on").eqNullSafe(F.col(_FOLDER)), "left_semi").drop("_on")
     build = uuid.uuid4().hex
-    rows = compute(mine).withColumn(_BUILD, F.lit(build)).select(*spark.table(stored).columns).hint("rebalance", day)
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        rows.write.insertInto(stored, overwrite=True)
-    left = spark.table(stored).where(F.col(_BUILD) != build).join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi")
-    for row in left.select(F.col(day).cast("string").alias("day")).distinct().collect():  # at most one row per day
-        value = "null" if row.day is None else f"'{row.day}'"
-        spark.sql(f"ALTER TABLE {stored} DROP IF EXISTS PARTITION ({day} = {value})")
+    rows = _stored(compute(mine).withColumn(_BUILD, F.lit(build)), "daily").withColumn(folder, _folder_of(day, width))
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"), _many_folders(spark):
+        rows.select(*spark.table(stored).columns).hint("rebalance", folder).write.insertInto(stored, overwrite=True)
+    left = spark.table(stored).where(F.col(_BUILD) != build).join(folders, F.col(folder).eqNullSafe(F.col(_FOLDER)), "left_semi")
+    for row in left.select(F.col(folder).cast("string").alias("folder")).distinct().collect():  # at most one row per folder
+        value = "null" if row.folder is None else f"'{row.folder}'"
+        spark.sql(f"ALTER TABLE {stored} DROP IF EXISTS PARTITION ({folder} = {value})")
     spark.catalog.refreshTable(stored)
     return spark.table(name)

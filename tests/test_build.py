@@ -195,6 +195,35 @@ def test_touched_days_only_are_rewritten(spark):
     assert rows(tables.rebuild_days(two, days, day_of(F.col("posting_created_at")), compute, name, "posting_date")) == rows(compute(two))
 
 
+def folders(spark, name):
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {tables.version_of(spark, name)}").collect()}
+
+
+def test_very_many_days_share_folders(spark, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_FOLDERS", 8, raising=False)
+    name, created = "spans.demand", day_of(F.col("posting_created_at"))
+    skills = dim_skill(default_seed(spark))
+    compute = lambda s: skill_demand_of(s, skills)
+    many = [(f"p{n}", n, {}) for n in range(-3, 25)]
+    one = silver(spark, *many, ("none", None, {}), ("other", 0, {"country_code": None}))
+    assert rows(tables.build_daily(compute(one), name, "posting_date")) == rows(compute(one))
+    assert len(folders(spark, name)) <= 9
+    # A posting moves, the one without a day gets one, a span loses all its rows, a new one comes.
+    two = silver(spark, ("p-3", 9, {}), *[p for p in many if 0 <= p[1] < 16], ("none", 2, {}), ("new", 99, {}), ("late", None, {}))
+    before = files(spark.table(name))
+    days = plans.changed_days(one, two)
+    now = tables.rebuild_days(two, days, created, compute, name, "posting_date")
+    assert rows(now) == rows(compute(two)) and now.columns == FCT_SKILL_DEMAND_DAILY.fieldNames()
+    assert len(folders(spark, name)) <= 9 and before.items() & files(now).items()
+    assert rows(tables.rebuild_days(two, days, created, compute, name, "posting_date")) == rows(compute(two))
+    # A table of few days that outgrows a folder for each of them.
+    few, name = silver(spark, *many[:6]), "spans.grown"
+    tables.build_daily(compute(few), name, "posting_date")
+    assert len(folders(spark, name)) == 6
+    now = tables.rebuild_days(two, plans.changed_days(few, two), created, compute, name, "posting_date")
+    assert rows(now) == rows(compute(two)) and len(folders(spark, name)) <= 9
+
+
 def test_days_of_a_build_that_died_are_taken_up_again(spark, tmp_path, monkeypatch):
     names = plans.tables_below("died_")
     root, seed = str(tmp_path / "bronze"), default_seed(spark)
