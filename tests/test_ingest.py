@@ -228,6 +228,19 @@ def test_drain_skips_null_values_and_counts_bad_ones(spark, tmp_path):
     assert (metrics["row_count"], metrics["bad_messages"], metrics["other_source"]) == (1, 1, 1)
 
 
+def test_a_drain_computes_a_derived_value_once(spark, tmp_path, capsys):
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "bronze")
+    spark.createDataFrame([(message(),), (None,), ("bad",)], "text string").write.parquet(topic)
+    stream = spark.readStream.schema("text string").parquet(topic).select(F.initcap(F.reverse(F.reverse("text"))).alias("value"))
+    lowered = stream.select(F.lower("value").alias("value"))
+    query = drain(lowered, "board", root, str(tmp_path / "checkpoint"), NOW)
+    query.awaitTermination()
+    assert drain_metrics(spark, root)["row_count"] == 1 and drain_metrics(spark, root)["bad_messages"] == 1
+    capsys.readouterr()
+    query.explain()
+    assert capsys.readouterr().out.count("initcap(") == 1
+
+
 @pytest.mark.parametrize("dying", ["append_run", "_record"])
 def test_counters_of_a_killed_drain_equal_those_of_one_run(spark, tmp_path, monkeypatch, dying):
     topic = str(tmp_path / "topic")
