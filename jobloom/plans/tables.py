@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -217,6 +217,16 @@ def build_daily(df: DataFrame, name: str, day: str) -> DataFrame:
     return publish(spark, name, version, df.columns, None if width is None else {SPAN: str(width)})
 
 
+def read_since(spark: SparkSession, name: str, day: str, since: date) -> DataFrame:
+    """The rows of the daily table ``name`` from ``since`` on; of its folders only those of these days are read."""
+    from_day, span = F.lit(since), _property(spark, name, SPAN)
+    recent = F.col(day) >= from_day.cast("timestamp_ntz")
+    if span is None:
+        return spark.table(name).where(recent)
+    in_folders = F.col(_SPAN) >= _folder_of(from_day, int(span))
+    return spark.table(version_of(spark, name)).where(in_folders & recent).select(*spark.table(name).columns)
+
+
 def rebuild_days(
     source: DataFrame, days: DataFrame, at: Column, compute: Callable[[DataFrame], DataFrame], name: str, day: str
 ) -> DataFrame:

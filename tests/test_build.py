@@ -208,6 +208,9 @@ def test_very_many_days_share_folders(spark, monkeypatch):
     one = silver(spark, *many, ("none", None, {}), ("other", 0, {"country_code": None}))
     assert rows(tables.build_daily(compute(one), name, "posting_date")) == rows(compute(one))
     assert len(folders(spark, name)) <= 9
+    since = tables.read_since(spark, name, "posting_date", date(2024, 1, 15))
+    assert rows(since) == rows(compute(one).where("posting_date >= '2024-01-15'")) and since.columns == FCT_SKILL_DEMAND_DAILY.fieldNames()
+    assert since._jdf.queryExecution().sparkPlan().collectLeaves().head().selectedPartitions().totalNumberOfFiles() < len(folders(spark, name))
     # A posting moves, the one without a day gets one, a span loses all its rows, a new one comes.
     two = silver(spark, ("p-3", 9, {}), *[p for p in many if 0 <= p[1] < 16], ("none", 2, {}), ("new", 99, {}), ("late", None, {}))
     before = files(spark.table(name))
