@@ -76,14 +76,14 @@ def _count(vocabulary: str, rule: str, given_sections: bool):
             out: list[list] = [[] for _ in range(7)]
             ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             sections = batch.column(2).to_pylist() if given_sections else [None] * len(ids_)
-            for doc_id, text, own in zip(ids_, texts, sections, strict=True):
+            for doc_id, text, own, tokens in zip(ids_, texts, sections, coder.encode(batch.column(1)), strict=True):
                 text = text or ""
                 if given_sections:
                     names, starts, stops = clean_sections(own, len(text))
                 else:
                     starts, stops = line_spans(text)
                     names = [None] * len(starts)
-                begin, end = token_spans(text.encode(), coder.encode([text])[0], lengths)
+                begin, end = token_spans(text.encode(), tokens, lengths)
                 counts, crossing, outside = attribute(begin, end, starts, stops, rule)
                 n = len(starts)
                 for column, values in zip(

@@ -73,10 +73,10 @@ def _tokenise(vocabulary: str, bounds: list[int], end_id: int):
         coder = encoder(vocabulary)
         total = np.zeros(1 << 16, np.int64)
         end = np.array([end_id], np.uint16)
-        for batch in slices(batches, lambda b: b.column(2)):
+        for batch in slices(batches, lambda b: b.column(2), 4 << 20):
             ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
             ties = batch.column(1).to_numpy(zero_copy_only=False)
-            tokens = [np.concatenate([t, end]) for t in coder.encode(batch.column(2).to_pylist())]
+            tokens = [np.concatenate([t, end]) for t in coder.encode(batch.column(2))]
             # An id that spans several bounds is spread over their buckets by its tie.
             lo, hi = np.searchsorted(edges, ids, "left"), np.searchsorted(edges, ids, "right")
             share = (ties.astype(np.float64) + 2.0**63) / 2.0**64

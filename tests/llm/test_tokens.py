@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, empty, key, texts_of, words
 from tokenizers import Tokenizer
@@ -32,6 +34,37 @@ def test_pieces_give_the_ids_of_whole_texts(library, kept):
     assert coder.encode([None])[0].tolist() == []
 
 
+class Counted:
+    """A tokenizer that counts how often something of it is used."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.used = tokenizer, 0
+
+    def __getattr__(self, name):
+        self.used += 1
+        return getattr(self.tokenizer, name)
+
+
+def test_new_words_go_through_the_library_many_in_a_call():
+    coder = PieceEncoder(default_vocabulary(), 0, 0)
+    coder.tokenizer = Counted(coder.tokenizer)
+    coder.encode(["".join([" ", words(i, 200), ", ", words(i, 100).replace(" ", "; ")]) for i in range(20)])
+    assert 0 < coder.tokenizer.used < 20
+
+
+@pytest.mark.parametrize("kept", [(100_000, 100_000), (1, 1)])
+def test_any_characters_give_the_ids_of_whole_texts(library, kept):
+    signs = [*" '.,;A1aeé", "the", "don't", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "漢", "ǆ", "Ж", "ʰ", "\u0301", "²", "😀", "\0", "<|endoftext|>", "<|"]
+    weights = [30, *[3] * (len(signs) - 3), 0.2, 1]
+    r = random.Random(5)
+    texts = ["".join(r.choices(signs, weights, k=r.randint(0, 40))) for _ in range(3000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    coder = PieceEncoder(default_vocabulary(), *kept)
+    assert [x.tolist() for x in coder.encode(texts)] == want
+    assert [x.tolist() for x in coder.encode(pa.array([None, *texts[:99]]).slice(1, 98))] == want[:98]
+    assert [x.tolist() for x in coder.encode(["", None])] == [[], []] and coder.encode([]) == []
+
+
 def test_special_strings_as_text_on_demand():
     plain = Tokenizer.from_file(default_vocabulary())
     plain.encode_special_tokens = True
